@@ -141,7 +141,8 @@ def analyze_anomalies(raw: DataFrame, scores: DataFrame, score_threshold_value:
     else:
         j = j.withColumn("threshold", F.lit(float(score_threshold_value)))
     j = j.withColumn("is_above_threshold", F.col(col) >= F.col("threshold")) \
-         .withColumn("severity", severity(col, "threshold"))
+         .withColumn("severity", severity(col, "threshold")) \
+         .withColumn("threshold", R("threshold", 6))
     return j.orderBy(F.desc(col), F.asc(key))
 
 

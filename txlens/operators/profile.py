@@ -124,8 +124,15 @@ def correlation(df: DataFrame, cols: list[str] | None = None, digits: int = 2) -
     """
     cols = cols or numeric_columns(df)
     pairs = list(combinations(cols, 2))
-    agg = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c_{k}")
-                   for k, (a, b) in enumerate(pairs)]) if pairs else None
+    # covariance / (std * std) with try_divide: a constant column gives null
+    # (Spark's corr raises on a zero variance under ANSI mode)
+    def corr(a, b):
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        both = F.when(x.isNotNull() & y.isNotNull(), F.lit(1))
+        xs, ys = F.when(both.isNotNull(), x), F.when(both.isNotNull(), y)
+        return F.try_divide(F.covar_samp(xs, ys), F.stddev_samp(xs) * F.stddev_samp(ys))
+
+    agg = df.agg(*[corr(a, b).alias(f"c_{k}") for k, (a, b) in enumerate(pairs)]) if pairs else None
     entries = [F.struct(F.lit(a).alias("feature_i"), F.lit(b).alias("feature_j"),
                         R(finite_or_null(F.col(f"c_{k}")), digits).alias("corr")) for k, (a, b) in enumerate(pairs)]
     if agg is None:
