@@ -1,6 +1,7 @@
 """All registered queries (importing the modules registers them)."""
 
 from txlens.plans import queries as _base  # noqa: F401
+from txlens.plans import queries_ml as _ml  # noqa: F401
 from txlens.plans import queries_profile as _profile  # noqa: F401
 from txlens.plans.queries import ORACLE, QUERIES
 

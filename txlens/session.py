@@ -56,3 +56,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``txlens`` importable on the executors' Python workers (once per context).
+
+    The package is zipped and added with ``addPyFile``, which Spark serves to
+    every executor (what ``--py-files`` does at submit time). Needed only by
+    the operators that run Python on executors (forest growing / scoring, SHAP).
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    dest = os.path.join(tempfile.mkdtemp(prefix="txlens-pyfiles-"), "txlens.zip")
+    with zipfile.ZipFile(dest, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(dest)
+    _SHIPPED.add(key)
