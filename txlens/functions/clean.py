@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from txlens.functions.scalar import finite_or_null, weekday_monday0
 from txlens.operators.quantiles import grouped_quantiles
-from txlens.operators.joins import keyed_join
+from txlens.operators.joins import keyed_join, measured
 from txlens.sources.schema import CATEGORICAL_COLUMNS, numeric_columns
 
 # Label used for rare categories and the rarity threshold.
@@ -68,9 +68,17 @@ def column_medians(df: DataFrame, cols: list[str]) -> DataFrame:
               .select(*[F.col(c).alias(f"_med_{c}") for c in cols])
 
 
-def fill_median(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Numeric null (and +-Inf, B11) -> exact column median."""
+def fill_median(df: DataFrame, cols: list[str] | None = None, check_missing: bool = False) -> DataFrame:
+    """Numeric null (and +-Inf, B11) -> exact column median.
+
+    ``check_missing`` first counts the missing values of each column (one
+    aggregate) and sorts only the columns that have any.
+    """
     cols = cols if cols is not None else numeric_columns(df)
+    if cols and check_missing:
+        row = df.agg(F.count(F.lit(1)).alias("_n"),
+                     *[F.count(finite_or_null(F.col(c).cast("double"))).alias(c) for c in cols]).collect()[0]
+        cols = [c for c in cols if row[c] < row["_n"]]
     if not cols:
         return df
     meds = column_medians(df, cols)
@@ -109,9 +117,9 @@ def group_rare_categories(df: DataFrame, cols: list[str] | None = None,
     """Values seen fewer than ``min_count`` times -> ``label``; nulls kept.
 
     One aggregate counts every (column, value) pair of all columns at once
-    (map-side combined). Each column's value counts are joined back with the
-    skew-safe :func:`keyed_join` (AQE broadcasts the count table when it is
-    measured small; hot values are salted otherwise).
+    (map-side combined) and is materialised; each column's value counts are
+    joined back with :func:`keyed_join` (broadcast when the measured table is
+    small, hot values salted otherwise).
     """
     cols = [c for c in (cols if cols is not None else CATEGORICAL_COLUMNS) if c in df.columns]
     if not cols:
@@ -119,12 +127,12 @@ def group_rare_categories(df: DataFrame, cols: list[str] | None = None,
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("val")) for c in cols])).alias("kv")) \
         .select("kv.col", "kv.val").where(F.col("val").isNotNull())
-    counts = long.groupBy("col", "val").agg(F.count(F.lit(1)).alias("n"))
+    counts, n_values = measured(long.groupBy("col", "val").agg(F.count(F.lit(1)).alias("n")))
     out = df
     for c in cols:
         per_value = counts.where(F.col("col") == c).select(F.col("val").alias(c), F.col("n").alias(f"_n_{c}"))
         weights = per_value.select(c, F.col(f"_n_{c}").alias("n"))
-        out = keyed_join(out, per_value, [c], "left", weights=weights)
+        out = keyed_join(out, per_value, [c], "left", weights=weights, small_rows=n_values)
         out = out.withColumn(c, F.when(F.col(c).isNull(), F.col(c))
                              .when(F.col(f"_n_{c}") < min_count, F.lit(label)).otherwise(F.col(c))) \
                  .drop(f"_n_{c}")

@@ -71,11 +71,15 @@ def scale_features(df: DataFrame, cols: list[str] | None = None, keep: list[str]
 def prepare_for_anomaly_detection(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """M5 / M4: drop all-null and non-numeric columns, Inf -> null, median fill."""
     keys = [k for k in (keys or []) if k in df.columns]
-    num = drop_all_null_columns(df.select(*keys, *[c for c in numeric_columns(df) if c not in keys]))
-    cols = [c for c in num.columns if c not in keys]
+    cols = [c for c in numeric_columns(df) if c not in keys]
+    row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(F.col(c)).alias(f"_a_{c}") for c in cols],
+                 *[F.count(finite_or_null(F.col(c).cast("double"))).alias(f"_f_{c}") for c in cols]).collect()[0]
+    cols = [c for c in cols if row[f"_a_{c}"] > 0]  # all-null columns dropped
     if not cols:
         raise ValueError("no numeric column available")
-    return fill_median(num.withColumns({c: finite_or_null(F.col(c).cast("double")) for c in cols}), cols)
+    gaps = [c for c in cols if row[f"_f_{c}"] < row["_n"]]  # only these need a median
+    num = df.select(*keys, *[finite_or_null(F.col(c).cast("double")).alias(c) for c in cols])
+    return fill_median(num, gaps) if gaps else num
 
 
 def centre_distance(scaled_cols: list[str]) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txlens.functions.clean import OTHER
-from txlens.operators.joins import keyed_join
+from txlens.operators.joins import keyed_join, measured
 from txlens.operators.quantiles import _ranked
 
 # Spark's own bound on pivot / one-hot width (spark.sql.pivotMaxValues default).
@@ -41,12 +41,13 @@ def ordinal_codes(df: DataFrame, cols: list[str] | str, order_col: str = "transa
     """
     cols = [cols] if isinstance(cols, str) else list(cols)
     base = df if base is None else base
-    codes = ordinal_code_tables(base, cols, order_col)
+    codes, n_codes = measured(ordinal_code_tables(base, cols, order_col))
     out = df
     for c in cols:
         tbl = codes.where(F.col("col") == c)
         small = tbl.select(F.col("val").alias(c), F.col("code").alias(f"{c}{suffix}"))
-        out = keyed_join(out, small, [c], "left", weights=tbl.select(F.col("val").alias(c), "n"))
+        out = keyed_join(out, small, [c], "left", weights=tbl.select(F.col("val").alias(c), "n"),
+                         small_rows=n_codes)
         out = out.withColumn(f"{c}{suffix}", F.coalesce(F.col(f"{c}{suffix}"), F.lit(-1.0)))
     return out
 

@@ -3,17 +3,17 @@
 Used wherever the reference attaches per-key results back to transactions
 (C1/C2 per-user statistics, B13 rare-category grouping, E2 ordinal codes).
 
-* Broadcast is decided by AQE at run time from the *measured* size of the
-  per-key side's shuffle output (``spark.sql.adaptive.autoBroadcastJoinThreshold``);
-  above it the join stays a shuffle join.
-* For that shuffle join, *hot* keys are salted up front: a key is hot when
+* The per-key side is materialised once and counted (:func:`measured`); a
+  table of at most ``BROADCAST_MAX_ROWS`` rows is broadcast - a size proven
+  on the data, not estimated.
+* Above that, the join is a shuffle join whose *hot* keys are salted: a key is hot when
   it carries more fact rows than one shuffle partition should hold
   (``total / partitions``). Fewer keys than partitions can be hot, so the
   hot-key list is a proven-small broadcast. Hot fact rows are spread over
   ``ceil(n * partitions / total)`` salts and the per-key row is replicated
   once per salt. AQE skew-join splitting stays on as a backstop.
 
-Everything is lazy: no action runs while the plan is built.
+Apart from the size measurement the plan is lazy.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txlens.session import BROADCAST_MAX_ROWS
+
 
 def hot_keys(weights: DataFrame, keys: list[str], weight_col: str = "n",
              partitions: int | None = None) -> DataFrame:
@@ -33,19 +35,34 @@ def hot_keys(weights: DataFrame, keys: list[str], weight_col: str = "n",
                     .cast("int").alias("_salts")))
 
 
+def measured(small: DataFrame) -> tuple[DataFrame, int]:
+    """Materialise a per-key table once (reliable checkpoint) and count its rows.
+
+    The count is the size proof used by :func:`keyed_join`; reading the
+    checkpoint again costs nothing upstream.
+    """
+    small = small.checkpoint(eager=True)
+    return small, small.count()
+
+
 def keyed_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "left",
                weights: DataFrame | None = None, weight_col: str = "n",
-               partitions: int | None = None) -> DataFrame:
+               partitions: int | None = None, small_rows: int | None = None,
+               max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Join ``big`` (fact rows) to ``small`` (one row per key) on ``keys``.
 
-    ``weights`` (keys + ``weight_col``) gives the number of fact rows per key;
-    it is usually a by-product of the aggregate that produced ``small``.
+    ``small_rows`` is the measured size of ``small`` (see :func:`measured`):
+    at most ``max_broadcast_rows`` -> broadcast hash join. Otherwise ``weights``
+    (keys + ``weight_col``, fact rows per key) drives the hot-key salting.
     Output columns: ``big``'s, then ``small``'s non-key columns.
     """
     if how not in ("left", "inner"):
         raise ValueError("keyed_join supports left and inner joins")
+    out_cols = [*big.columns, *[c for c in small.columns if c not in keys]]
+    if small_rows is not None and small_rows <= max_broadcast_rows:
+        return big.join(F.broadcast(small), keys, how).select(*out_cols)
     if weights is None:
-        return big.join(small, keys, how)
+        return big.join(small, keys, how).select(*out_cols)
     hot = F.broadcast(hot_keys(weights, keys, weight_col, partitions))  # < partitions rows
     row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
     big_s = (big.join(hot, keys, "left")
