@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from txlens.functions.scalar import finite_or_null, weekday_monday0
 from txlens.operators.quantiles import grouped_quantiles
+from txlens.operators.cache import materialize
 from txlens.operators.joins import keyed_join, measured
 from txlens.sources.schema import CATEGORICAL_COLUMNS, numeric_columns
 
@@ -155,5 +156,6 @@ def preprocess_transactions(df: DataFrame, min_count: int = RARE_MIN_COUNT) -> D
             "transaction_month": F.month(ts),
             "transaction_dayofweek": weekday_monday0(ts),
         })
-    out = fill_zero(out)
+    # read twice (value counts, then the rows themselves): kept once
+    out = materialize(fill_zero(out))
     return group_rare_categories(out, min_count=min_count)

@@ -220,3 +220,33 @@ def anomaly_report(scores: DataFrame, analyzed: DataFrame, contamination: float,
                 .select(F.lit("top").alias("section"), F.col("transaction_id").alias("metric"),
                         F.format_string("%.3f", F.col(col)).alias("value")))
     return rows.unionByName(top_rows)
+
+
+def qq_points(scored: DataFrame, col: str = "anomaly_score", flag: str = "is_anomaly") -> DataFrame:
+    """QQ data of the normal rows' scores: the i-th smallest score against
+    the standard-normal quantile at ``linspace(0.01, 0.99, n)[i]``.
+
+    Every normal row gets its point: the rank comes from the distributed sort
+    (no single-partition window) and the inverse normal CDF is an Arrow
+    pandas UDF (Spark SQL has none).
+    """
+    import pandas as pd
+    from statistics import NormalDist
+
+    from txlens.operators.quantiles import _ranked
+    from txlens.session import ship_package
+
+    ship_package(scored.sparkSession)
+    vals = scored.where(~F.col(flag)).select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
+    ranked, counts = _ranked(vals, ["v"])
+    n = counts.agg(F.sum("_n").alias("_n"))  # one row
+
+    @F.pandas_udf("double")
+    def inv_norm(p: pd.Series) -> pd.Series:
+        nd = NormalDist()
+        return p.map(nd.inv_cdf)
+
+    prob = F.lit(0.01) + F.lit(0.98) * F.col("_rank") / F.greatest(F.col("_n") - 1, F.lit(1))
+    return ranked.crossJoin(F.broadcast(n)).select(
+        F.col("_rank").alias("rank"), F.col("v").alias("sample_quantile"), prob.alias("probability"),
+        inv_norm(prob).alias("theoretical_quantile"))

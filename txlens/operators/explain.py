@@ -174,6 +174,8 @@ def shap_values(model: IsolationForestModel, rows: DataFrame, key: str) -> DataF
             })
 
     sel = rows.select(key, *[F.col(c).cast("double").alias(c) for c in feats])
+    # the per-batch cost is dominated by the number of numpy operations (trees x
+    # leaves x depth^2), not by rows: batches are kept large.
     return sel.mapInPandas(explain, f"{key} {kt}, feature string, feature_value double, shap_value double, "
                                     "abs_shap double, base_value double")
 

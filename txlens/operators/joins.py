@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txlens.operators.cache import cut
 from txlens.session import BROADCAST_MAX_ROWS
 
 
@@ -41,7 +42,7 @@ def measured(small: DataFrame) -> tuple[DataFrame, int]:
     The count is the size proof used by :func:`keyed_join`; reading the
     checkpoint again costs nothing upstream.
     """
-    small = small.checkpoint(eager=True)
+    small = cut(small)
     return small, small.count()
 
 

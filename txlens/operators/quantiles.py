@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from txlens.operators.cache import cut
 from txlens.session import checkpoint_dir
 
 _POS_BITS = 33  # monotonically_increasing_id: partition id above bit 33
@@ -39,8 +40,8 @@ def _ranked(values: DataFrame, order_cols: list[str],
     # The ids are written once (reliable checkpoint in the shared checkpoint
     # folder): upstream shuffles give rows in a nondeterministic order, so
     # recomputing the range partitioning per branch could disagree.
-    tagged = (values.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-              .withColumn("_mid", F.monotonically_increasing_id())).checkpoint(eager=True)
+    tagged = cut(values.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+                 .withColumn("_mid", F.monotonically_increasing_id()))
     tagged = tagged.withColumn("_pid", F.shiftright("_mid", _POS_BITS)) \
                    .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

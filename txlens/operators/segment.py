@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txlens.operators.anomaly import Scaler, prepare_for_anomaly_detection
+from txlens.operators.cache import cut
 from txlens.operators.decompose import compute_pca
 
 
@@ -135,7 +136,7 @@ def train_kmeans(df: DataFrame, keys: list[str], n_clusters: int, use_pca: bool
         labelled = model.transform(vec)
         sil = ClusteringEvaluator(featuresCol="features", predictionCol="cluster",
                                   distanceMeasure="squaredEuclidean").evaluate(labelled)
-        out = labelled.select(*keys, *coords, "cluster").checkpoint(eager=True)
+        out = cut(labelled.select(*keys, *coords, "cluster"))
         db = davies_bouldin(out, coords)
         inertia = float(model.summary.trainingCost)
     finally:

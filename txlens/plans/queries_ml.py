@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from txlens.functions.clean import preprocess_transactions
 from txlens.operators import explain as X
+from txlens.operators.cache import cut
 from txlens.operators import iforest as IF
 from txlens.operators.decompose import compute_pca
 from txlens.operators.segment import elbow_curve, train_kmeans
@@ -40,8 +41,7 @@ def _cached(spark: SparkSession, sf: str, name: str, build):
 
 
 def _users(spark, sf) -> DataFrame:
-    return _cached(spark, sf, "uf", lambda: build_user_features(tx_from_orders(spark, sf), as_of=AS_OF)
-                   .checkpoint(eager=True))
+    return _cached(spark, sf, "uf", lambda: cut(build_user_features(tx_from_orders(spark, sf), as_of=AS_OF)))
 
 
 def _pca(spark, sf):
@@ -52,7 +52,7 @@ def _forest_x(spark, sf):
     def build():
         tf = build_transaction_features(tx_from_orders(spark, sf))
         x, feats = forest_inputs(tf)
-        return x.checkpoint(eager=True), feats
+        return cut(x), feats
     return _cached(spark, sf, "fx", build)
 
 
@@ -66,8 +66,7 @@ def _forest(spark, sf):
 def _attr(spark, sf):
     def build():
         x, _ = _forest_x(spark, sf)
-        return X.shap_values(_forest(spark, sf), X.sample_rows(x, "transaction_id", 200), "transaction_id") \
-                .checkpoint(eager=True)
+        return cut(X.shap_values(_forest(spark, sf), X.sample_rows(x, "transaction_id", 200), "transaction_id"))
     return _cached(spark, sf, "attr", build)
 
 
@@ -219,3 +218,24 @@ def q_a8(spark, sf):
                                 sc.select("transaction_id", "anomaly_score"))
     path = write_csv(flagged.where("is_above_threshold"), _scratch(spark))
     return spark.read.option("header", True).option("inferSchema", True).csv(path)
+
+
+@register("b19_poorly_represented")
+def q_b19(spark, sf):
+    """Users whose PCA representation quality cos2 is below 0.5."""
+    return _pca(spark, sf).scores().where(F.col("cos2") < 0.5)
+
+
+@register("b18_cluster_drilldown")
+def q_b18(spark, sf):
+    """Users of cluster 0 with their features (drill-down of one segment)."""
+    km = _cached(spark, sf, "km", lambda: train_kmeans(_users(spark, sf), ["user_id"], 4))
+    return km.labels.where(F.col("cluster") == 0).join(_users(spark, sf), "user_id")
+
+
+@register("d22_cluster_profiles")
+def q_cluster_profiles(spark, sf):
+    from txlens.operators.profile import group_profiles
+    km = _cached(spark, sf, "km", lambda: train_kmeans(_users(spark, sf), ["user_id"], 4))
+    users = _users(spark, sf).join(km.labels.select("user_id", "cluster"), "user_id")
+    return group_profiles(users, "cluster", [c for c in users.columns if c not in ("user_id", "cluster")])

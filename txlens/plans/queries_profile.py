@@ -363,3 +363,20 @@ def _apply_fixes():
 
 
 _apply_fixes()
+
+
+@register("e6_qq_points")
+def q_e6(spark, sf):
+    return A.qq_points(A.flag_by_contamination(_scores(spark, sf), 0.02))
+
+
+@register("b21_seeded_sample")
+def q_b21(spark, sf):
+    from txlens.operators.explain import sample_rows
+    return sample_rows(tx_from_orders(spark, sf), "transaction_id", 200, seed=42)
+
+
+@register("b23_columns_matching")
+def q_b23(spark, sf):
+    return P.columns_matching(P.group_profiles(tx_from_orders(spark, sf), _GRP, NUMS),
+                              ("mean", "size", "pct"))

@@ -17,7 +17,7 @@ from txlens.functions.clean import preprocess_transactions
 from txlens.operators import explain as X
 from txlens.operators import iforest as IF
 from txlens.operators.anomaly import analyze_anomalies, prepare_for_anomaly_detection
-from txlens.operators.cache import materialize
+from txlens.operators.cache import cut, materialize
 from txlens.operators.segment import KMeansResult, train_kmeans
 from txlens.operators.tx_features import build_transaction_features
 from txlens.operators.user_features import build_user_features
@@ -57,14 +57,14 @@ def run_training(spark: SparkSession, raw: DataFrame, out_dir: str | None = None
                  n_clusters: int = 4, contamination: float = 0.02, n_trees: int = 100,
                  shap_sample: int = 200, seed: int = 42) -> TrainingOutputs:
     pre = materialize(preprocess_transactions(raw))
-    uf = build_user_features(pre, as_of=as_of, preprocessed=True).checkpoint(eager=True)
-    tf = build_transaction_features(pre, preprocessed=True).checkpoint(eager=True)
+    uf = cut(build_user_features(pre, as_of=as_of, preprocessed=True))
+    tf = cut(build_transaction_features(pre, preprocessed=True))
     km = train_kmeans(uf, ["user_id"], n_clusters)
     x, feats = forest_inputs(tf)
-    x = x.checkpoint(eager=True)
+    x = cut(x)
     forest = IF.fit_isolation_forest(x, feats, "transaction_id", n_trees=n_trees,
                                      contamination=contamination, seed=seed)
-    scores = IF.flag(IF.score_samples(forest, x, ["transaction_id"]), contamination).checkpoint(eager=True)
+    scores = cut(IF.flag(IF.score_samples(forest, x, ["transaction_id"]), contamination))
     attr = X.shap_values(forest, X.sample_rows(x, "transaction_id", shap_sample, seed), "transaction_id")
     report = training_report(spark, raw, uf, tf, km, scores, contamination)
     if out_dir:
