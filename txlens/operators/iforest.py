@@ -207,6 +207,8 @@ def spread(df: DataFrame) -> DataFrame:
     parallelism (small inputs whose files hold few row groups); large inputs
     already have many partitions and are left alone (no extra shuffle).
     """
+    if df.isStreaming:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
