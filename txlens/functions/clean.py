@@ -91,7 +91,13 @@ def fill_median(df: DataFrame, cols: list[str] | None = None, check_missing: boo
 def drop_null_rows(df: DataFrame) -> DataFrame:
     """B6 ``strategy='drop'``: rows with any null (or NaN) value are removed."""
     dbl = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.na.drop("any").where(F.lit(True) if not dbl else ~F.greatest(*[F.isnan(c) for c in dbl]))
+    out = df.na.drop("any")
+    if dbl:
+        any_nan = F.isnan(dbl[0])
+        for c in dbl[1:]:
+            any_nan = any_nan | F.isnan(c)
+        out = out.where(~any_nan)
+    return out
 
 
 def handle_missing_values(df: DataFrame, strategy: str = "zero") -> DataFrame:

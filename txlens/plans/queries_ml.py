@@ -239,3 +239,13 @@ def q_cluster_profiles(spark, sf):
     km = _cached(spark, sf, "km", lambda: train_kmeans(_users(spark, sf), ["user_id"], 4))
     users = _users(spark, sf).join(km.labels.select("user_id", "cluster"), "user_id")
     return group_profiles(users, "cluster", [c for c in users.columns if c not in ("user_id", "cluster")])
+
+
+@register("f6_correlation_circle")
+def q_circle(spark, sf):
+    return _pca(spark, sf).correlation_circle(10)
+
+
+@register("m17_biplot_individuals")
+def q_biplot(spark, sf):
+    return _pca(spark, sf).biplot(100)

@@ -380,3 +380,9 @@ def q_b21(spark, sf):
 def q_b23(spark, sf):
     return P.columns_matching(P.group_profiles(tx_from_orders(spark, sf), _GRP, NUMS),
                               ("mean", "size", "pct"))
+
+
+@register("f7_preview", f"WITH {Q.raw_cte('orders')} SELECT * FROM raw ORDER BY transaction_id LIMIT 10")
+def q_f7(spark, sf):
+    """the first 10 transactions in key order (a preview is the feature)."""
+    return tx_from_orders(spark, sf).orderBy("transaction_id").limit(10)
