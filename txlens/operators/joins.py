@@ -53,13 +53,16 @@ def keyed_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "le
     """Join ``big`` (fact rows) to ``small`` (one row per key) on ``keys``.
 
     ``small_rows`` is the measured size of ``small`` (see :func:`measured`):
-    at most ``max_broadcast_rows`` -> broadcast hash join. Otherwise ``weights``
+    at most ``max_broadcast_rows`` (session conf ``spark.txlens.broadcastMaxRows``
+    overrides it) -> broadcast hash join. Otherwise ``weights``
     (keys + ``weight_col``, fact rows per key) drives the hot-key salting.
     Output columns: ``big``'s, then ``small``'s non-key columns.
     """
     if how not in ("left", "inner"):
         raise ValueError("keyed_join supports left and inner joins")
     out_cols = [*big.columns, *[c for c in small.columns if c not in keys]]
+    limit = big.sparkSession.conf.get("spark.txlens.broadcastMaxRows", None)
+    max_broadcast_rows = int(limit) if limit is not None else max_broadcast_rows
     if small_rows is not None and small_rows <= max_broadcast_rows:
         return big.join(F.broadcast(small), keys, how).select(*out_cols)
     if weights is None:
