@@ -386,3 +386,38 @@ def q_b23(spark, sf):
 def q_f7(spark, sf):
     """the first 10 transactions in key order (a preview is the feature)."""
     return tx_from_orders(spark, sf).orderBy("transaction_id").limit(10)
+
+
+def _scaled_sql() -> str:
+    st = ", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS s{i}" for i, c in enumerate(NUMS))
+    cols = ", ".join(f"((CAST({c} AS DOUBLE) - m{i}) / (CASE WHEN s{i} = 0 OR s{i} IS NULL THEN 1.0 ELSE s{i} END)) "
+                     f"AS {c}" for i, c in enumerate(NUMS))
+    return (f"{Q.raw_cte('orders')}, st AS (SELECT {st} FROM raw), "
+            f"z AS (SELECT transaction_id, {_GRP}, {cols} FROM raw, st)")
+
+
+@register("m1_scale_features", f"WITH {_scaled_sql()} SELECT transaction_id, "
+                               + ", ".join(f"{SR(c, 6)} AS {c}" for c in NUMS) + " FROM z")
+def q_m1(spark, sf):
+    scaled, _ = A.scale_features(tx_from_orders(spark, sf), NUMS, keep=["transaction_id"])
+    return scaled.select("transaction_id", *[R(c, 6).alias(c) for c in NUMS])
+
+
+def _db_sql() -> str:
+    cent = ", ".join(f"avg({c}) AS c_{c}" for c in NUMS)
+    dist = " + ".join(f"(z.{c} - ce.c_{c}) * (z.{c} - ce.c_{c})" for c in NUMS)
+    cdist = " + ".join(f"(a.c_{c} - b.c_{c}) * (a.c_{c} - b.c_{c})" for c in NUMS)
+    return (f"WITH {_scaled_sql()}, ce AS (SELECT {_GRP}, {cent} FROM z GROUP BY 1), "
+            f"s AS (SELECT z.{_GRP}, avg(sqrt({dist})) AS s FROM z JOIN ce USING ({_GRP}) GROUP BY 1), "
+            f"r AS (SELECT a.{_GRP}, max((sa.s + sb.s) / sqrt({cdist})) AS r FROM ce a JOIN ce b "
+            f"ON a.{_GRP} <> b.{_GRP} JOIN s sa ON sa.{_GRP} = a.{_GRP} JOIN s sb ON sb.{_GRP} = b.{_GRP} "
+            f"GROUP BY 1) SELECT {SR('avg(r)', 6)} AS davies_bouldin FROM r")
+
+
+@register("m22_davies_bouldin", _db_sql())
+def q_m22(spark, sf):
+    """Davies-Bouldin index of the fixed label (return flag) on the scaled amounts."""
+    from txlens.operators.segment import davies_bouldin
+    scaled, _ = A.scale_features(tx_from_orders(spark, sf), NUMS, keep=[_GRP])
+    db = davies_bouldin(scaled, NUMS, label=_GRP)
+    return spark.createDataFrame([(db,)], "davies_bouldin double").select(R("davies_bouldin", 6).alias("davies_bouldin"))
