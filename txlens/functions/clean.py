@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from txlens.functions.scalar import finite_or_null, weekday_monday0
 from txlens.operators.quantiles import grouped_quantiles
-from txlens.operators.cache import materialize
+from txlens.operators.cache import materialize, spread
 from txlens.operators.joins import keyed_join, measured
 from txlens.sources.schema import CATEGORICAL_COLUMNS, numeric_columns
 
@@ -152,7 +152,7 @@ def preprocess_transactions(df: DataFrame, min_count: int = RARE_MIN_COUNT) -> D
     Mirrors the reference's order: date parts are added *before* the zero
     fill, so a null date gives 0 parts.
     """
-    out = coerce_timestamp(df)
+    out = coerce_timestamp(spread(df))
     out = nan_to_null(out)
     if "transaction_date" in out.columns:
         ts = F.col("transaction_date")

@@ -7,9 +7,13 @@ DataFrames cross-joined by broadcast: a proven single row, never a driver loop.
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txlens.functions.clean import drop_all_null_columns, fill_median
 from txlens.functions.scalar import finite_or_null, round_half_up as R, severity
@@ -18,6 +22,12 @@ from txlens.operators.quantiles import quantiles_df
 from txlens.sources.schema import numeric_columns
 
 
+@F.pandas_udf(T.DoubleType())
+def inv_norm(p: pd.Series) -> pd.Series:
+    """Standard-normal quantile function over an Arrow batch."""
+    return p.map(NormalDist().inv_cdf)
+
+
 class Scaler:
     """M1 ``StandardScaler`` with population std; constant columns scale to 0.
 
@@ -230,9 +240,6 @@ def qq_points(scored: DataFrame, col: str = "anomaly_score", flag: str = "is_ano
     (no single-partition window) and the inverse normal CDF is an Arrow
     pandas UDF (Spark SQL has none).
     """
-    import pandas as pd
-    from statistics import NormalDist
-
     from txlens.operators.quantiles import _ranked
     from txlens.session import ship_package
 
@@ -241,11 +248,6 @@ def qq_points(scored: DataFrame, col: str = "anomaly_score", flag: str = "is_ano
     ranked, counts = _ranked(vals, ["v"])
     n = counts.agg(F.sum("_n").alias("_n"))  # one row
 
-    @F.pandas_udf("double")
-    def inv_norm(p: pd.Series) -> pd.Series:
-        nd = NormalDist()
-        return p.map(nd.inv_cdf)
-
     prob = F.lit(0.01) + F.lit(0.98) * F.col("_rank") / F.greatest(F.col("_n") - 1, F.lit(1))
     return ranked.crossJoin(F.broadcast(n)).select(
         F.col("_rank").alias("rank"), F.col("v").alias("sample_quantile"), prob.alias("probability"),

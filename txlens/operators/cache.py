@@ -30,3 +30,18 @@ def cut(df: DataFrame) -> DataFrame:
     faster than persisting first on the driver data, and it keeps no cache.
     """
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core for row-level work.
+
+    Only when the input has fewer partitions than the cluster's default
+    parallelism (small inputs whose files hold few row groups). Large inputs
+    already have many partitions and are left alone - no extra shuffle.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

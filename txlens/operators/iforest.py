@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from txlens.operators.cache import cut
+from txlens.operators.cache import cut, spread
 from txlens.operators.quantiles import quantiles_df
 from txlens.session import ship_package
 
@@ -200,21 +200,6 @@ def score_samples(model: IsolationForestModel, df: DataFrame, keys: list[str]) -
     return sel.mapInPandas(score, f"{key_schema}, mean_path_length double, raw_score double")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-bound Python work at least one partition per core.
-
-    Only when the input has fewer partitions than the cluster's default
-    parallelism (small inputs whose files hold few row groups); large inputs
-    already have many partitions and are left alone (no extra shuffle).
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def flag(scored: DataFrame, contamination: float) -> DataFrame:
     """anomaly_score = s - percentile(s, 1 - c) (c capped at 0.5); flag above 0."""
     c = min(contamination, 0.5)
