@@ -29,6 +29,9 @@ def cut(df: DataFrame) -> DataFrame:
     shuffle outputs of the first, so only the last stage runs twice. Measured
     faster than persisting first on the driver data, and it keeps no cache.
     """
+    from txlens.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)  # the cluster's setting; a scratch folder only when unset
     return df.checkpoint(eager=True)
 
 

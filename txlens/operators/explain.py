@@ -25,28 +25,26 @@ from txlens.session import ship_package
 
 class _Path:
     """Unique-path state: feature ids, zero fractions (scalars), one fractions and
-    permutation weights (arrays over rows)."""
+    permutation weights (arrays over rows). Arrays are never modified in place
+    (every update builds a new array), so copies only copy the lists."""
 
     __slots__ = ("d", "z", "o", "w")
 
-    def __init__(self, n_rows: int, cap: int):
-        self.d = [-1] * cap
-        self.z = [0.0] * cap
-        self.o = [np.zeros(n_rows) for _ in range(cap)]
-        self.w = [np.zeros(n_rows) for _ in range(cap)]
+    def __init__(self):
+        self.d, self.z, self.o, self.w = [], [], [], []
 
-    def copy(self, depth: int, cap: int, n_rows: int) -> "_Path":
+    def copy(self, depth: int) -> "_Path":
         p = _Path.__new__(_Path)
-        p.d = self.d[:depth] + [-1] * (cap - depth)
-        p.z = self.z[:depth] + [0.0] * (cap - depth)
-        p.o = [a.copy() for a in self.o[:depth]] + [np.zeros(n_rows) for _ in range(cap - depth)]
-        p.w = [a.copy() for a in self.w[:depth]] + [np.zeros(n_rows) for _ in range(cap - depth)]
+        p.d, p.z, p.o, p.w = self.d[:depth], self.z[:depth], self.o[:depth], self.w[:depth]
         return p
 
 
 def _extend(p: _Path, ud: int, z: float, o: np.ndarray, d: int) -> None:
-    p.d[ud], p.z[ud], p.o[ud] = d, z, o
-    p.w[ud] = np.ones_like(o) if ud == 0 else np.zeros_like(o)
+    del p.d[ud:], p.z[ud:], p.o[ud:], p.w[ud:]
+    p.d.append(d)
+    p.z.append(z)
+    p.o.append(o)
+    p.w.append(np.ones_like(o) if ud == 0 else np.zeros_like(o))
     for i in range(ud - 1, -1, -1):
         p.w[i + 1] = p.w[i + 1] + o * p.w[i] * (i + 1.0) / (ud + 1.0)
         p.w[i] = z * p.w[i] * (ud - i) / (ud + 1.0)
@@ -86,13 +84,12 @@ def tree_shap(x: np.ndarray, a: dict, tree: int, value: np.ndarray) -> np.ndarra
     """SHAP values (rows, features) of one tree whose leaf outputs are ``value``."""
     n, p = x.shape
     phi = np.zeros((n, p))
-    cap = a["max_depth"] + 2
     left, right, feat, thr, size = (a["left"][tree], a["right"][tree], a["feature"][tree],
                                     a["threshold"][tree], a["size"][tree])
     leaf = a["leaf"][tree]
 
     def recurse(node: int, ud: int, path: _Path, pz: float, po: np.ndarray, pd_: int) -> None:
-        path = path.copy(ud, cap, n)
+        path = path.copy(ud)
         _extend(path, ud, pz, po, pd_)
         if leaf[node]:
             for i in range(1, ud + 1):
@@ -110,7 +107,7 @@ def tree_shap(x: np.ndarray, a: dict, tree: int, value: np.ndarray) -> np.ndarra
         for child, ind in ((int(left[node]), goes_left), (int(right[node]), 1.0 - goes_left)):
             recurse(child, ud + 1, path, size[child] / size[node] * iz, io * ind, f)
 
-    recurse(0, 0, _Path(n, cap), 1.0, np.ones(n), -1)
+    recurse(0, 0, _Path(), 1.0, np.ones(n), -1)
     return phi
 
 
