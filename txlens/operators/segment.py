@@ -110,6 +110,11 @@ class KMeansResult:
     silhouette: float          # squared-Euclidean silhouette (ClusteringEvaluator)
     davies_bouldin: float
     explained_variance: float | None
+    model: object = None       # the fitted pyspark.ml KMeansModel
+
+    def save(self, path: str) -> None:
+        """Persist the fitted KMeans model (pyspark.ml writer)."""
+        self.model.write().overwrite().save(path)
 
     def metrics(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([(self.n_clusters, self.inertia, self.silhouette, self.davies_bouldin,
@@ -141,4 +146,4 @@ def train_kmeans(df: DataFrame, keys: list[str], n_clusters: int, use_pca: bool
         inertia = float(model.summary.trainingCost)
     finally:
         vec.unpersist()
-    return KMeansResult(out, coords, n_clusters, inertia, float(sil), db, explained)
+    return KMeansResult(out, coords, n_clusters, inertia, float(sil), db, explained, model)

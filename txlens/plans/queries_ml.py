@@ -249,3 +249,20 @@ def q_circle(spark, sf):
 @register("m17_biplot_individuals")
 def q_biplot(spark, sf):
     return _pca(spark, sf).biplot(100)
+
+
+@register("m23_suggest_k")
+def q_suggest_k(spark, sf):
+    """Elbow, silhouette and combined suggestions from one (k, inertia, silhouette) curve."""
+    from txlens.operators.segment import suggest_k
+    curve = _cached(spark, sf, "elbow", lambda: elbow_curve(_users(spark, sf), ["user_id"], 2, 10))
+    return spark.createDataFrame([(suggest_k(curve, "elbow"), suggest_k(curve, "silhouette"),
+                                   suggest_k(curve, "combined"))],
+                                 "elbow_k int, silhouette_k int, combined_k int")
+
+
+@register("g23_encode_categorical")
+def q_encode(spark, sf):
+    """One-hot for low-cardinality string columns, ordinal codes for the others."""
+    from txlens.operators.encode import encode_categorical_columns
+    return encode_categorical_columns(tx_from_events(spark, sf), max_categories=10)
