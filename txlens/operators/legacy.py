@@ -12,23 +12,38 @@ from pyspark.sql import functions as F
 
 from txlens.functions.clean import coerce_timestamp, nan_to_null
 from txlens.functions.scalar import is_weekend, ratio_when_positive, round_half_up as R, weekday_monday0
-from txlens.operators.encode import distinct_values, one_hot
+from txlens.operators.cache import cut
+from txlens.operators.encode import MAX_DISTINCT_VALUES, one_hot
 from txlens.sources.schema import has
 
 
-def _share_pivot(df: DataFrame, col: str, values: list, amount: str | None) -> DataFrame:
-    """Per user, share of the amount (``amount`` given) or of the
-    rows (crosstab) per value. Null values count in neither part; a zero total
-    gives 0. ``groupBy.pivot`` with an explicit value list: one shuffle."""
-    src = df.where(F.col(col).isNotNull())
-    agg = F.sum(amount) if amount else F.count(F.lit(1))
-    wide = src.groupBy("user_id").pivot(col, values).agg(agg)
-    names = [str(v) for v in values]
-    total = sum((F.coalesce(F.col(f"`{n}`"), F.lit(0)) for n in names), F.lit(0))
-    return wide.select("user_id", *[
-        F.coalesce(F.try_divide(F.coalesce(F.col(f"`{n}`"), F.lit(0)).cast("double"),
-                                F.when(total == 0, F.lit(None)).otherwise(total).cast("double")), F.lit(0.0)).alias(n)
-        for n in names])
+def _share_table(df: DataFrame, specs: list[tuple[str, str | None]]) -> DataFrame:
+    """D19 / D20 for every categorical column in one pass: per user, the share
+    of the amount (``amount`` given) or of the rows (crosstab) per value. Null
+    values count in neither part; a zero total gives 0.
+
+    One long (user, column, value) aggregate, materialised; the value lists
+    (bounded) are read from it; one pivot builds the wide table.
+    """
+    parts = [F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("val"),
+                      (F.col(a).cast("double") if a else F.lit(1.0)).alias("w")) for c, a in specs]
+    long = df.select("user_id", F.explode(F.array(*parts)).alias("kv")) \
+             .select("user_id", "kv.col", "kv.val", "kv.w").where(F.col("val").isNotNull())
+    per_value = cut(long.groupBy("user_id", "col", "val").agg(F.sum("w").alias("w")))
+    keys = per_value.select("col", "val").distinct().orderBy("col", "val").limit(MAX_DISTINCT_VALUES + 1).collect()
+    if len(keys) > MAX_DISTINCT_VALUES:
+        raise ValueError(f"more than {MAX_DISTINCT_VALUES} categorical values to pivot")
+    names = [r["val"] for r in keys]
+    if len(set(names)) != len(names):
+        raise ValueError("the same value appears in two categorical columns; names would collide")
+    total = per_value.groupBy("user_id", "col").agg(F.sum(F.coalesce("w", F.lit(0.0))).alias("t"))
+    shares = per_value.join(total, ["user_id", "col"]).select(
+        "user_id", "val", F.coalesce(F.try_divide(F.coalesce("w", F.lit(0.0)),
+                                                  F.when(F.col("t") == 0, F.lit(None)).otherwise(F.col("t"))),
+                                     F.lit(0.0)).alias("share"))
+    # names in each column's sorted order, columns in the order of ``specs``
+    order = [r["val"] for c, _ in specs for r in keys if r["col"] == c]
+    return shares.groupBy("user_id").pivot("val", order).agg(F.first("share"))
 
 
 def build_user_features_legacy(df_raw: DataFrame) -> DataFrame:
@@ -38,6 +53,7 @@ def build_user_features_legacy(df_raw: DataFrame) -> DataFrame:
     df = nan_to_null(coerce_timestamp(df_raw))
     cnt = F.count("transaction_id") if has(df, "transaction_id") else F.count("user_id")
     zero = F.lit(0.0)
+
     # sums are exact (decimal) so that the outputs do not depend on the
     # summation order of the partial aggregates
     def dsum(c):
@@ -59,15 +75,15 @@ def build_user_features_legacy(df_raw: DataFrame) -> DataFrame:
         (F.col("total_cashback") / F.col("nb_transactions")).alias("avg_cashback"),
         (F.col("total_loyalty_points") / F.col("nb_transactions")).alias("avg_loyalty_points"),
         ratio_when_positive("total_cashback", "total_amount").alias("cashback_ratio"))
+    specs = [(c, a) for c, a in (("product_category", "product_amount"), ("payment_method", None),
+                                 ("device_type", None), ("location", None)) if has(df, c)]
     out = base
-    for col, amount in (("product_category", "product_amount"), ("payment_method", None),
-                        ("device_type", None), ("location", None)):
-        if has(df, col):
-            values = distinct_values(df, col)
-            clash = set(str(v) for v in values) & set(out.columns)
-            if clash:
-                raise ValueError(f"value names collide with feature names: {sorted(clash)}")
-            out = out.join(_share_pivot(df, col, values, amount), "user_id", "left")
+    if specs:
+        wide = _share_table(df, specs)
+        clash = set(wide.columns[1:]) & set(base.columns)
+        if clash:
+            raise ValueError(f"value names collide with feature names: {sorted(clash)}")
+        out = base.join(wide, "user_id", "left")
     num = [c for c in out.columns if c != "user_id"]
     # outputs rounded to 6 digits: float sums depend on the summation order
     return out.select("user_id", *[R(F.coalesce(F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)), F.lit(0.0)), 6)
