@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txlens.functions.clean import drop_all_null_columns, fill_median
+from txlens.operators.cache import cut
 from txlens.functions.scalar import finite_or_null, round_half_up as R, severity
 from txlens.operators.encode import top_values
 from txlens.operators.quantiles import quantiles_df
@@ -138,6 +139,7 @@ def flag_by_contamination(scores: DataFrame, contamination: float = 0.02,
                           col: str = "anomaly_score") -> DataFrame:
     """``is_anomaly`` = score above the (1 - c) percentile; c capped at 0.5."""
     c = min(contamination, 0.5)
+    scores = cut(scores)  # the threshold and the flags read the same materialised scores
     thr = score_threshold(scores, 1.0 - c, col)
     return scores.crossJoin(F.broadcast(thr)).withColumn("is_anomaly", F.col(col) > F.col("threshold")) \
                  .drop("threshold")
@@ -148,6 +150,7 @@ def analyze_anomalies(raw: DataFrame, scores: DataFrame, score_threshold_value:
     """Scores joined to the source rows by key; ``is_above_threshold`` at the
     given value or the 95th percentile; ``severity`` label (G19). Sorted by
     score descending (ties by key) - call ``.orderBy`` again after further joins."""
+    scores = cut(scores)  # read by the threshold and by the join
     j = raw.join(scores, key, "inner")
     if score_threshold_value is None:
         thr = score_threshold(scores, 0.95, col)
