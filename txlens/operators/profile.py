@@ -11,7 +11,6 @@ from itertools import combinations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from txlens.functions.scalar import finite_or_null, round_half_up as R
 from txlens.operators.quantiles import grouped_quantiles
@@ -241,6 +240,3 @@ def columns_matching(df: DataFrame, patterns: tuple[str, ...] = ("mean", "size",
     """Columns whose name contains one of the patterns."""
     return df.select(*[c for c in df.columns if any(p in c for p in patterns)])
 
-
-def is_boolean(dt: T.DataType) -> bool:
-    return isinstance(dt, T.BooleanType)

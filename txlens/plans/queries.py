@@ -38,10 +38,6 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def _ints(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("int") for c in cols})
-
-
 # --- B: preprocessing and cleaning ------------------------------------------
 
 @register("b14_preprocess_events", Q.preprocess_sql("events"))
