@@ -43,22 +43,26 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared checkpoint folder, registered once per context.
 
-    The cluster's setting is always used. Only when it is unset (local tests)
-    is a private scratch folder created and registered.
+    A folder already registered is left as it is; else the cluster's
+    ``spark.checkpoint.dir`` is registered. Where neither is set, a private
+    scratch folder serves a local master; on a cluster that is an error, since
+    executors would not see it.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        current = tempfile.mkdtemp(prefix="txlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
+    if current is None:
+        if not configured and not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = configured or tempfile.mkdtemp(prefix="txlens-ckpt-")
+        sc.setCheckpointDir(configured)
+        current = sc.getCheckpointDir()
+    return configured or current
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -71,7 +75,7 @@ def ship_package(spark: SparkSession) -> None:
     import zipfile
 
     sc = spark.sparkContext
-    key = id(sc._jsc)
+    key = sc.applicationId
     if key in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
