@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlens.llm import exact_dedup, records
+from txlens.llm import exact_dedup, packing, records, secret_scan, warc
 from txlens.llm.common import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,36 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
+@register("op4_secret_scan")
+def op4_secret_scan(spark, sf):
+    found = secret_scan.with_spans(table(spark, sf, "documents").select("doc_id", "text")).drop("text")
+    kind = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
+    shown = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["kind"].isin(*secret_scan.BASE_KINDS))
+    return found.select("doc_id", kind("assign").alias("n_assign"), kind("access").alias("n_access"), kind("hex").alias("n_hex"),
+                        F.sha2(shown(base), 256).alias("base_sha256"), shown(F.col("spans")).alias("spans"))
+
+
+@register("op5_warc_archive", """
+SELECT page_id, payload_bytes, sha1(t) AS payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> keep THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> keep THEN keep END AS refers_to
+FROM (SELECT page_id, t, CAST(strlen(t) AS BIGINT) AS payload_bytes, max(page_id) OVER (PARTITION BY t) AS keep
+      FROM (SELECT page_id, coalesce(html, '') AS t FROM pages))
+""")
+def op5_warc_archive(spark, sf):
+    folder = shared_path(spark, "warc")
+    warc.write_archive(table(spark, sf, "pages"), folder)
+    return warc.read_archive(spark, folder).select(
+        "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"),
+        "record_type", "refers_to")
+
+
+@register("op6_packing")
+def op6_packing(spark, sf):
+    return packing.pack_documents(table(spark, sf, "documents"))
+
+
 @register("op7_exact_dedup", """
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256
 FROM (SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
