@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlens.llm import exact_dedup, packing, records, secret_scan, warc
+from txlens.llm import exact_dedup, packing, records, secret_scan, toxicity, warc
 from txlens.llm.common import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,15 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
+@register("op1_toxicity")
+def op1_toxicity(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.fit(toxicity.training_rows(docs, table(spark, sf, "labels")))
+    out = docs.select("doc_id", model.result(F.col("text")).alias("r"))
+    return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("r.score").alias("score"),
+                      F.when(F.col("r.score") >= 0.5, 1).otherwise(0).alias("predicted"), F.col("r.spans").alias("spans"))
+
+
 @register("op4_secret_scan")
 def op4_secret_scan(spark, sf):
     found = secret_scan.with_spans(table(spark, sf, "documents").select("doc_id", "text")).drop("text")
