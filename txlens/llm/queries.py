@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlens.llm import exact_dedup, mixing, packing, records, secret_scan, toxicity, warc
+from txlens.llm import exact_dedup, jaccard_join, mixing, packing, records, secret_scan, toxicity, warc
 from txlens.llm.common import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,11 @@ def op2_mixing(spark, sf):
     return mixing.mix(table(spark, sf, "documents"))
 
 
+@register("op3_jaccard_join")
+def op3_jaccard_join(spark, sf):
+    return jaccard_join.jaccard_components(table(spark, sf, "documents"))
+
+
 @register("op4_secret_scan")
 def op4_secret_scan(spark, sf):
     found = secret_scan.with_spans(table(spark, sf, "documents").select("doc_id", "text")).drop("text")
