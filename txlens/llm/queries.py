@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlens.llm import exact_dedup, jaccard_join, mixing, packing, records, secret_scan, toxicity, warc
+from txlens.llm import exact_dedup, imatch, jaccard_join, mixing, packing, records, secret_scan, toxicity, warc
 from txlens.llm.common import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +91,11 @@ def op7_exact_dedup(spark, sf):
     return out.withColumnRenamed("full_hash", "text_sha256")
 
 
+@register("op8_imatch")
+def op8_imatch(spark, sf):
+    return imatch.edited_fingerprints(table(spark, sf, "documents"))
+
+
 @register("op10_token_records")
 def op10_token_records(spark, sf):
     folder = shared_path(spark, "records")
