@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlens.llm import exact_dedup, imatch, jaccard_join, mixing, packing, records, secret_scan, toxicity, warc
+from txlens.llm import exact_dedup, imatch, jaccard_join, mixing, packing, preference, records, secret_scan, toxicity, warc
 from txlens.llm.common import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,6 +96,34 @@ def op8_imatch(spark, sf):
     return imatch.edited_fingerprints(table(spark, sf, "documents"))
 
 
+@register("op9_preference", """
+WITH base AS (SELECT conv_id AS p, turn, role, text, max(turn) OVER (PARTITION BY conv_id) = turn AS last FROM conversations),
+sides AS (SELECT p, true AS side, turn, role, text FROM base UNION ALL
+          SELECT p, false, turn, role, CASE WHEN last THEN array_to_string(list_reverse(string_split(text, ' ')), ' ') ELSE text END FROM base),
+numbered AS (SELECT p, side, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                    row_number() OVER (PARTITION BY p, side ORDER BY turn, role, text) AS n FROM sides WHERE p IS NOT NULL),
+common AS (SELECT coalesce(c.p, r.p) AS p, min(coalesce(c.n, r.n)) FILTER (c.n IS NULL OR r.n IS NULL OR c.role <> r.role OR c.text <> r.text) AS k,
+                  max(c.n) AS m
+           FROM (SELECT * FROM numbered WHERE side) c FULL JOIN (SELECT * FROM numbered WHERE NOT side) r ON c.p = r.p AND c.n = r.n
+           GROUP BY 1),
+shown AS (SELECT n.*, '<|start|>' || role || chr(10) || text || '<|end|>' || chr(10) AS s, coalesce(k - 1, m) AS k
+          FROM numbered n JOIN common USING (p)),
+placed AS (SELECT *, sum(length(s)) OVER (PARTITION BY p, side, n > k ORDER BY n) AS upto FROM shown)
+SELECT p AS pair_id, k AS n_common,
+       coalesce(string_agg(s, '' ORDER BY n) FILTER (side AND n <= k), '') AS prompt,
+       coalesce(string_agg(s, '' ORDER BY n) FILTER (side AND n > k), '') AS chosen,
+       coalesce(string_agg(s, '' ORDER BY n) FILTER (NOT side AND n > k), '') AS rejected,
+       coalesce(string_agg((upto - length(text) - 8) || ':' || upto, ',' ORDER BY n) FILTER (side AND n > k AND role = 'assistant'), '') AS chosen_spans,
+       coalesce(string_agg((upto - length(text) - 8) || ':' || upto, ',' ORDER BY n) FILTER (NOT side AND n > k AND role = 'assistant'), '') AS rejected_spans,
+       count(*) FILTER (n > k) = 0 AS tied
+FROM placed GROUP BY p, k
+""")
+def op9_preference(spark, sf):
+    out = preference.format_preferences(preference.preference_turns(table(spark, sf, "conversations")))
+    text = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias(c)
+    return out.withColumns({c: text(c) for c in ("chosen_spans", "rejected_spans")})
+
+
 @register("op10_token_records")
 def op10_token_records(spark, sf):
     folder = shared_path(spark, "records")
