@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from txlens.functions.scalar import finite_or_null, weekday_monday0
 from txlens.operators.quantiles import grouped_quantiles
-from txlens.operators.cache import materialize, spread
 from txlens.operators.joins import keyed_join, measured
 from txlens.sources.schema import CATEGORICAL_COLUMNS, numeric_columns
 
@@ -114,8 +113,10 @@ def handle_missing_values(df: DataFrame, strategy: str = "zero") -> DataFrame:
 
 
 def drop_all_null_columns(df: DataFrame) -> DataFrame:
-    """Columns without a single non-null value are dropped (one aggregate)."""
-    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns]).collect()[0]
+    """Columns without a single non-null (or non-NaN) value are dropped (one aggregate)."""
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    counts = df.agg(*[F.count(F.nanvl(F.col(c), F.lit(None)) if c in floats else F.col(c)).alias(c)
+                      for c in df.columns]).collect()[0]
     return df.drop(*[c for c in df.columns if counts[c] == 0])
 
 
@@ -152,7 +153,7 @@ def preprocess_transactions(df: DataFrame, min_count: int = RARE_MIN_COUNT) -> D
     Mirrors the reference's order: date parts are added *before* the zero
     fill, so a null date gives 0 parts.
     """
-    out = coerce_timestamp(spread(df))
+    out = coerce_timestamp(df)
     out = nan_to_null(out)
     if "transaction_date" in out.columns:
         ts = F.col("transaction_date")
@@ -162,6 +163,4 @@ def preprocess_transactions(df: DataFrame, min_count: int = RARE_MIN_COUNT) -> D
             "transaction_month": F.month(ts),
             "transaction_dayofweek": weekday_monday0(ts),
         })
-    # read twice (value counts, then the rows themselves): kept once
-    out = materialize(fill_zero(out))
-    return group_rare_categories(out, min_count=min_count)
+    return group_rare_categories(fill_zero(out), min_count=min_count)

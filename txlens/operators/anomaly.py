@@ -7,26 +7,42 @@ DataFrames cross-joined by broadcast: a proven single row, never a driver loop.
 
 from __future__ import annotations
 
-from statistics import NormalDist
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from txlens.functions.clean import drop_all_null_columns, fill_median
 from txlens.operators.cache import cut
 from txlens.functions.scalar import finite_or_null, round_half_up as R, severity
 from txlens.operators.encode import top_values
-from txlens.operators.quantiles import quantiles_df
+from txlens.operators.quantiles import quantiles_df, row_ranks
 from txlens.sources.schema import numeric_columns
 
 
-@F.pandas_udf(T.DoubleType())
-def inv_norm(p: pd.Series) -> pd.Series:
-    """Standard-normal quantile function over an Arrow batch."""
-    return p.map(NormalDist().inv_cdf)
+# Coefficients of Acklam's rational approximation of the inverse
+# normal distribution (relative error below 1.2e-9).
+_CENTRE = ((-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02, 1.383577518672690e+02,
+            -3.066479806614716e+01, 2.506628277459239e+00),
+           (-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02, 6.680131188771972e+01,
+            -1.328068155288572e+01, 1.0))
+_TAIL = ((-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00, -2.549732539343734e+00,
+          4.374664141464968e+00, 2.938163982698783e+00),
+         (7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00, 3.754408661907416e+00, 1.0))
+_TAIL_FROM = 0.02425
+
+
+def inv_norm(p: Column) -> Column:
+    """Standard-normal quantile as a column expression, 0 < p < 1."""
+    def poly(coefficients, x):
+        out = F.lit(coefficients[0])
+        for c in coefficients[1:]:
+            out = out * x + c
+        return out
+    q = p - 0.5
+    centre = q * poly(_CENTRE[0], q * q) / poly(_CENTRE[1], q * q)
+    t = F.sqrt(-2 * F.log(F.least(p, 1 - p)))
+    tail = poly(_TAIL[0], t) / poly(_TAIL[1], t)
+    return F.when(p < _TAIL_FROM, tail).when(p > 1 - _TAIL_FROM, -tail).otherwise(centre)
 
 
 class Scaler:
@@ -83,9 +99,9 @@ def prepare_for_anomaly_detection(df: DataFrame, keys: list[str] | None = None)
     """M5 / M4: drop all-null and non-numeric columns, Inf -> null, median fill."""
     keys = [k for k in (keys or []) if k in df.columns]
     cols = [c for c in numeric_columns(df) if c not in keys]
-    row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(F.col(c)).alias(f"_a_{c}") for c in cols],
+    row = df.agg(F.count(F.lit(1)).alias("_n"),
                  *[F.count(finite_or_null(F.col(c).cast("double"))).alias(f"_f_{c}") for c in cols]).collect()[0]
-    cols = [c for c in cols if row[f"_a_{c}"] > 0]  # all-null columns dropped
+    cols = [c for c in cols if row[f"_f_{c}"] > 0]  # columns without a finite value dropped
     if not cols:
         raise ValueError("no numeric column available")
     gaps = [c for c in cols if row[f"_f_{c}"] < row["_n"]]  # only these need a median
@@ -239,18 +255,12 @@ def qq_points(scored: DataFrame, col: str = "anomaly_score", flag: str = "is_ano
     """QQ data of the normal rows' scores: the i-th smallest score against
     the standard-normal quantile at ``linspace(0.01, 0.99, n)[i]``.
 
-    Every normal row gets its point: the rank comes from the distributed sort
-    (no single-partition window) and the inverse normal CDF is an Arrow
-    pandas UDF (Spark SQL has none).
+    Every normal row gets its point; the ranks come from counted values, so ties
+    of any number do not meet in one task.
     """
-    from txlens.operators.quantiles import _ranked
-    from txlens.session import ship_package
-
-    ship_package(scored.sparkSession)
-    vals = scored.where(~F.col(flag)).select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    ranked, counts = _ranked(vals, ["v"])
-    n = counts.agg(F.sum("_n").alias("_n"))  # one row
-
+    vals = scored.where(~F.col(flag)).select(F.col(col).cast("double").alias("v"))
+    ranked = row_ranks(vals, "v")
+    n = vals.agg(F.count(F.nanvl("v", F.lit(None))).alias("_n"))  # one row
     prob = F.lit(0.01) + F.lit(0.98) * F.col("_rank") / F.greatest(F.col("_n") - 1, F.lit(1))
     return ranked.crossJoin(F.broadcast(n)).select(
         F.col("_rank").alias("rank"), F.col("v").alias("sample_quantile"), prob.alias("probability"),

@@ -2,20 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Keep a table that several aggregates read (MEMORY_AND_DISK, lazily filled).
-
-    Persisted blocks are rebuilt from lineage if an executor is lost; the
-    inputs here are deterministic, so a rebuild gives the same rows.
-    """
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def with_comments(df: DataFrame, comments: dict[str, str]) -> DataFrame:
     """Attach feature descriptions as column metadata in one projection."""
     return df.select(*[F.col(c).alias(c, metadata={"comment": comments[c]}) if c in comments else F.col(c)
@@ -23,28 +15,13 @@ def with_comments(df: DataFrame, comments: dict[str, str]) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: lineage cut, files in ``spark.checkpoint.dir``.
+    """Write ``df`` once as Parquet into the shared checkpoint folder and read it back.
 
-    Spark writes the checkpoint with a second job; that job reuses the
-    shuffle outputs of the first, so only the last stage runs twice. Measured
-    faster than persisting first on the driver data, and it keeps no cache.
+    Cuts the lineage like a reliable checkpoint, but in one job, in columns (later
+    readers take the ones they need) and without a cached copy.
     """
     from txlens.session import checkpoint_dir
 
-    checkpoint_dir(df.sparkSession)  # the cluster's setting; a scratch folder only when unset
-    return df.checkpoint(eager=True)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """At least one partition per core for row-level work.
-
-    Only when the input has fewer partitions than the cluster's default
-    parallelism (small inputs whose files hold few row groups). Large inputs
-    already have many partitions and are left alone - no extra shuffle.
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/txlens-stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from txlens.functions.clean import OTHER
 from txlens.operators.joins import keyed_join, measured
-from txlens.operators.quantiles import _ranked
+from txlens.operators.quantiles import running_ranks
 
 # Spark's own bound on pivot / one-hot width (spark.sql.pivotMaxValues default).
 MAX_DISTINCT_VALUES = 10_000
@@ -25,10 +25,10 @@ def ordinal_code_tables(df: DataFrame, cols: list[str], order_col: str = "transa
         F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("val")) for c in cols])).alias("kv")) \
         .select("kv.col", "kv.val", "_key").where(F.col("val").isNotNull())
     firsts = long.groupBy("col", "val").agg(F.min("_key").alias("_first"), F.count(F.lit(1)).alias("n"))
-    ranked, _ = _ranked(firsts.select("col", "val", "_first", "n"), ["col", "_first", "val"])
-    start = ranked.groupBy("col").agg(F.min("_rank").alias("_start"))
+    ranked = running_ranks(firsts, ["col", "_first", "val"])
+    start = ranked.groupBy("col").agg(F.min("_from").alias("_start"))  # one row per column
     return ranked.join(F.broadcast(start), "col") \
-                 .select("col", "val", "n", (F.col("_rank") - F.col("_start")).cast("double").alias("code"))
+                 .select("col", "val", "n", (F.col("_from") - F.col("_start")).cast("double").alias("code"))
 
 
 def ordinal_codes(df: DataFrame, cols: list[str] | str, order_col: str = "transaction_id",
@@ -89,6 +89,25 @@ def one_hot(df: DataFrame, col: str, prefix: str | None = None, drop_first: bool
                            for v in values}).fillna(0, [f"{prefix}_{v}" for v in values])
 
 
+def one_hot_long(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+    """G21 in sparse form: (keys, column, value, 1) for every non-null value; no bound on the values."""
+    values = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])
+    return df.select(*keys, F.explode(values).alias("kv")).select(*keys, "kv.column", "kv.value", F.lit(1).alias("indicator")) \
+             .where(F.col("value").isNotNull())
+
+
+def value_lists(df: DataFrame, cols: list[str], limit: int = MAX_DISTINCT_VALUES) -> dict[str, list]:
+    """Sorted non-null values of several columns from one pass (plan-time lists of the wide form).
+
+    A wide table cannot have more than ``limit`` columns; for more values use
+    ``one_hot_long``.
+    """
+    rows = one_hot_long(df, [], cols).select("column", "value").distinct().limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} distinct values: use the long form, one_hot_long")
+    return {c: sorted(r["value"] for r in rows if r["column"] == c) for c in cols}
+
+
 def encode_categorical_columns(df: DataFrame, max_categories: int = 10,
                                order_col: str = "transaction_id") -> DataFrame:
     """One-hot (drop first) when a string column has <= ``max_categories``

@@ -18,7 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txlens.functions.scalar import IMPACT_DOWN, IMPACT_UP, impact_label, round_half_up as R
+from txlens.functions.scalar import impact_label, round_half_up as R
+from txlens.operators.sampling import smallest_hashes
 from txlens.operators.iforest import IsolationForestModel, average_path_length
 from txlens.session import ship_package
 
@@ -139,7 +140,7 @@ def _reached_leaves(a: dict, k: int) -> np.ndarray:
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """N rows chosen by a seeded hash of the key (reproducible under any partitioning)."""
-    return df.orderBy(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), key).limit(n)
+    return smallest_hashes(df, key, n, seed)
 
 
 def shap_values(model: IsolationForestModel, rows: DataFrame, key: str) -> DataFrame:
@@ -170,7 +171,9 @@ def shap_values(model: IsolationForestModel, rows: DataFrame, key: str) -> DataF
                 "base_value": np.full(n * p, base),
             })
 
-    sel = rows.select(key, *[F.col(c).cast("double").alias(c) for c in feats])
+    # A sample arrives in one partition and flagged rows lie unevenly: deal them out.
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    sel = rows.select(key, *[F.col(c).cast("double").alias(c) for c in feats]).repartition(tasks, key)
     # the per-batch cost is dominated by the number of numpy operations (trees x
     # leaves x depth^2), not by rows: batches are kept large.
     return sel.mapInPandas(explain, f"{key} {kt}, feature string, feature_value double, shap_value double, "
@@ -205,39 +208,44 @@ def waterfall(attr: DataFrame, key: str) -> DataFrame:
                .withColumn("cumulative", F.col("base_value") + F.sum("shap_value").over(run))
 
 
-def explain_text(attr: DataFrame, raw: DataFrame, key: str = "transaction_id", top_n: int = 5) -> DataFrame:
-    """M33 + G25: one sentence per explained row: up to 3 increasing and 2
-    decreasing factors among its top_n attributions, then the amount /
-    cashback / category context. Built with SQL string functions."""
-    top = top_features(attr, key, top_n)
-    fmt = lambda sign: F.format_string("%s (value: %.2f, contribution: " + sign + "%.3f)",
-                                       "feature", "feature_value", "shap_value")
-    up = top.where(F.col("shap_value") > 0).withColumn(
-        "_r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("abs_shap"), F.asc("feature"))))
-    down = top.where(F.col("shap_value") < 0).withColumn(
-        "_r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("abs_shap"), F.asc("feature"))))
-    ups = up.where(F.col("_r") <= 3).groupBy(key).agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_r", fmt("+").alias("t")))),
-                                 lambda s: s["t"]), "; ").alias("_up"))
-    downs = down.where(F.col("_r") <= 2).groupBy(key).agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_r", fmt("").alias("t")))),
-                                 lambda s: s["t"]), "; ").alias("_down"))
-    ctx_cols = [c for c in ("user_id", "product_amount", "cashback", "product_category") if c in raw.columns]
-    base = attr.select(key).distinct().join(raw.select(key, *ctx_cols), key, "left")
-    j = base.join(ups, key, "left").join(downs, key, "left")
-    ctx = F.concat_ws(", ", *[e for e in (
-        F.format_string("amount %.2f", "product_amount") if "product_amount" in ctx_cols else None,
-        F.format_string("cashback %.2f", "cashback") if "cashback" in ctx_cols else None,
-        F.format_string("category '%s'", "product_category") if "product_category" in ctx_cols else None)
-        if e is not None])
-    text = F.concat_ws(" ",
-                       F.format_string("Transaction %s of user %s was flagged mainly because of:", F.col(key),
-                                       F.coalesce(F.col("user_id").cast("string"), F.lit("N/A"))
-                                       if "user_id" in ctx_cols else F.lit("N/A")),
-                       F.when(F.col("_up").isNotNull(), F.concat(F.lit(IMPACT_UP + ": "), F.col("_up"))),
-                       F.when(F.col("_down").isNotNull(), F.concat(F.lit(IMPACT_DOWN + ": "), F.col("_down"))),
-                       F.concat(F.lit("Context: "), ctx, F.lit(".")))
-    return j.select(key, text.alias("explanation"))
+# Wording of the explanations, one language per sentence.
+PHRASES = {
+    "en": {"lead": "Why transaction %s (user %s) stands out.", "up": "Raising its score: ", "down": "Lowering it: ",
+           "factor": "%s = %.2f (%+.3f)", "known": "Known about it: ", "product_amount": "amount %.2f",
+           "cashback": "cashback %.2f", "product_category": "category %s", "nobody": "unknown"},
+    "fr": {"lead": "Pourquoi la transaction %s (utilisateur %s) ressort.", "up": "Ce qui élève son score : ",
+           "down": "Ce qui l'abaisse : ", "factor": "%s = %.2f (%+.3f)", "known": "À son sujet : ",
+           "product_amount": "montant %.2f", "cashback": "remise %.2f", "product_category": "catégorie %s", "nobody": "inconnu"},
+}
+
+
+def explain_text(attr: DataFrame, raw: DataFrame, key: str = "transaction_id", top_n: int = 5,
+                 flags: DataFrame | None = None, language: str = "en") -> DataFrame:
+    """M33 + G25: one text per flagged row, in one language.
+
+    Up to 3 raising and 2 lowering factors among the row's ``top_n``
+    attributions, then what the source row says of it. ``flags`` (key,
+    ``is_anomaly``) picks the rows: only flagged ones are explained; without it
+    every attributed row is taken as flagged. A row's factors are at most ``top_n``.
+    """
+    words = PHRASES[language]
+    if flags is not None:
+        attr = attr.join(flags.where("is_anomaly").select(key).distinct(), key, "left_semi")
+    top = top_features(attr, key, top_n).select(key, F.struct("rank", F.format_string(words["factor"], "feature", "feature_value", "shap_value")
+                                                             .alias("said"), F.signum("shap_value").alias("sign")).alias("f"))
+    rows = top.groupBy(key).agg(F.sort_array(F.collect_list("f")).alias("f"))
+
+    def side(sign: int, n: int, title: str):
+        of = F.slice(F.filter("f", lambda x: x["sign"] == sign), 1, n)
+        return F.when(F.size(of) > 0, F.concat(F.lit(title), F.array_join(F.transform(of, lambda x: x["said"]), "; "), F.lit(".")))
+
+    columns = [c for c in ("user_id", "product_amount", "cashback", "product_category") if c in raw.columns]
+    rows = rows.join(raw.select(key, *columns), key, "left")
+    user = F.coalesce(F.col("user_id").cast("string"), F.lit(words["nobody"])) if "user_id" in columns else F.lit(words["nobody"])
+    facts = F.concat_ws(", ", *[F.when(F.col(c).isNotNull(), F.format_string(words[c], c)) for c in columns if c != "user_id"])
+    text = F.concat_ws(" ", F.format_string(words["lead"], F.col(key).cast("string"), user), side(1, 3, words["up"]), side(-1, 2, words["down"]),
+                       F.when(facts != "", F.concat(F.lit(words["known"]), facts, F.lit("."))))
+    return rows.select(key, text.alias("explanation"))
 
 
 def shap_summary(attr: DataFrame, key: str, top: int = 15) -> tuple[DataFrame, DataFrame]:

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from txlens.operators.cache import cut, spread
+from txlens.operators.cache import cut
 from txlens.operators.quantiles import quantiles_df
 from txlens.session import ship_package
 
@@ -127,18 +127,9 @@ def fit_isolation_forest(df: DataFrame, features: list[str], key: str, n_trees:
     if n < min_rows:
         raise ValueError(f"not enough rows for an isolation forest: {n}")
     psi = int(min(max_samples, n))
-    h = F.xxhash64(F.col(key).cast("string"), F.lit(seed))
     cols = [F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(features)]
-    if n >= n_trees * psi:
-        top = df.select(F.col(key).cast("string").alias("_key"), h.alias("_h"), *cols) \
-                .orderBy("_h", "_key").limit(n_trees * psi)
-        w = Window.orderBy("_h", "_key")  # over the bounded T * psi rows
-        sample = top.withColumn("tree", (F.row_number().over(w) - 1) % n_trees)
-    else:
-        rep = df.select(F.col(key).cast("string").alias("_key"), *cols,
-                        F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"))
-        w = Window.partitionBy("tree").orderBy(F.xxhash64("_key", "tree", F.lit(seed)), "_key")
-        sample = rep.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= psi).drop("_r")
+    key_text = F.col(key).cast("string")
+    span = 1 << 40
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
     p = len(features)
 
@@ -153,7 +144,23 @@ def fit_isolation_forest(df: DataFrame, features: list[str], key: str, n_trees:
         return out
 
     ship_package(df.sparkSession)
-    nodes = sample.groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas()  # <= T (2 psi - 1) rows
+    # Each tree draws its own rows: those whose hash with the tree's number lies in a
+    # share of the hash range that holds psi rows with a margin of six standard
+    # deviations (all rows of a small table). The psi smallest stay.
+    share = (psi + 6 * math.sqrt(psi)) / n
+    while True:
+        below = F.lit(int(min(share, 1.0) * span))
+        trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
+                         lambda t: F.pmod(F.xxhash64(key_text, t, F.lit(seed)), F.lit(span)) < below)
+        drawn = df.select(key_text.alias("_key"), *cols, F.explode(trees).alias("tree"))
+        order = F.pmod(F.xxhash64("_key", "tree", F.lit(seed)), F.lit(span))
+        w = Window.partitionBy("tree").orderBy(order, "_key")
+        sample = drawn.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= psi).drop("_r")
+        nodes = sample.groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas()  # <= T (2 psi - 1) rows
+        roots = nodes[nodes["node"] == 0]["size"]
+        if share >= 1 or (len(roots) == n_trees and (roots >= psi).all()):
+            break
+        share *= 2  # a tree came up short
     nodes = nodes.sort_values(["tree", "node"]).reset_index(drop=True)
     return IsolationForestModel(list(features), nodes, n_trees, psi, contamination)
 
@@ -196,7 +203,7 @@ def score_samples(model: IsolationForestModel, df: DataFrame, keys: list[str]) -
             yield out
 
     key_schema = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
-    sel = spread(df.select(*keys, *[F.col(c).cast("double").alias(c) for c in feats]))
+    sel = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in feats])
     return sel.mapInPandas(score, f"{key_schema}, mean_path_length double, raw_score double")
 
 

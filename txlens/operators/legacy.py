@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from txlens.functions.clean import coerce_timestamp, nan_to_null
 from txlens.functions.scalar import is_weekend, ratio_when_positive, round_half_up as R, weekday_monday0
 from txlens.operators.cache import cut
-from txlens.operators.encode import MAX_DISTINCT_VALUES, one_hot
+from txlens.operators.encode import MAX_DISTINCT_VALUES, one_hot, value_lists
 from txlens.sources.schema import has
 
 
@@ -22,35 +22,40 @@ def _share_table(df: DataFrame, specs: list[tuple[str, str | None]]) -> DataFram
     of the amount (``amount`` given) or of the rows (crosstab) per value. Null
     values count in neither part; a zero total gives 0.
 
-    One long (user, column, value) aggregate, materialised; the value lists
-    (bounded) are read from it; one pivot builds the wide table.
+    The long shares are materialised; the value lists of the wide form (at most
+    ``MAX_DISTINCT_VALUES`` columns) are read from them; one pivot builds it.
     """
-    parts = [F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("val"),
-                      (F.col(a).cast("double") if a else F.lit(1.0)).alias("w")) for c, a in specs]
-    long = df.select("user_id", F.explode(F.array(*parts)).alias("kv")) \
-             .select("user_id", "kv.col", "kv.val", "kv.w").where(F.col("val").isNotNull())
-    per_value = cut(long.groupBy("user_id", "col", "val").agg(F.sum("w").alias("w")))
-    keys = per_value.select("col", "val").distinct().orderBy("col", "val").limit(MAX_DISTINCT_VALUES + 1).collect()
+    shares = cut(value_shares(df, specs))
+    keys = shares.select("col", "val").distinct().limit(MAX_DISTINCT_VALUES + 1).collect()
     if len(keys) > MAX_DISTINCT_VALUES:
-        raise ValueError(f"more than {MAX_DISTINCT_VALUES} categorical values to pivot")
+        raise ValueError(f"more than {MAX_DISTINCT_VALUES} values for a wide table: use the long form, value_shares")
     names = [r["val"] for r in keys]
     if len(set(names)) != len(names):
         raise ValueError("the same value appears in two categorical columns; names would collide")
-    total = per_value.groupBy("user_id", "col").agg(F.sum(F.coalesce("w", F.lit(0.0))).alias("t"))
-    shares = per_value.join(total, ["user_id", "col"]).select(
-        "user_id", "val", F.coalesce(F.try_divide(F.coalesce("w", F.lit(0.0)),
-                                                  F.when(F.col("t") == 0, F.lit(None)).otherwise(F.col("t"))),
-                                     F.lit(0.0)).alias("share"))
     # names in each column's sorted order, columns in the order of ``specs``
-    order = [r["val"] for c, _ in specs for r in keys if r["col"] == c]
+    order = [v for c, _ in specs for v in sorted(r["val"] for r in keys if r["col"] == c)]
     return shares.groupBy("user_id").pivot("val", order).agg(F.first("share"))
 
 
+def value_shares(df: DataFrame, specs: list[tuple[str, str | None]]) -> DataFrame:
+    """D19 / D20 in long form, (user_id, col, val, share): no bound on the values."""
+    parts = [F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("val"),
+                      (F.col(a).cast("double") if a else F.lit(1.0)).alias("w")) for c, a in specs]
+    long = df.select("user_id", F.explode(F.array(*parts)).alias("kv")) \
+             .select("user_id", "kv.col", "kv.val", "kv.w").where(F.col("val").isNotNull())
+    per_value = long.groupBy("user_id", "col", "val").agg(F.sum("w").alias("w"))
+    total = per_value.groupBy("user_id", "col").agg(F.sum(F.coalesce("w", F.lit(0.0))).alias("t"))
+    return per_value.join(total, ["user_id", "col"]).select(
+        "user_id", "col", "val", F.coalesce(F.try_divide(F.coalesce("w", F.lit(0.0)),
+                                                         F.when(F.col("t") == 0, F.lit(None)).otherwise(F.col("t"))),
+                                            F.lit(0.0)).alias("share"))
+
+
 def build_user_features_legacy(df_raw: DataFrame) -> DataFrame:
     """Count / sums / means / sample std (null -> 0), per-transaction averages,
     cashback ratio (only when total > 0), amount share per category, row share
     per payment method / device / location. Absent columns give 0."""
-    df = nan_to_null(coerce_timestamp(df_raw))
+    df = nan_to_null(coerce_timestamp(df_raw)).where(F.col("user_id").isNotNull())
     cnt = F.count("transaction_id") if has(df, "transaction_id") else F.count("user_id")
     zero = F.lit(0.0)
 
@@ -90,7 +95,7 @@ def build_user_features_legacy(df_raw: DataFrame) -> DataFrame:
                                    .alias(c) for c in num])
 
 
-def build_transaction_features_legacy(df_raw: DataFrame) -> DataFrame:
+def build_transaction_features_legacy(df_raw: DataFrame, values: dict[str, list] | None = None) -> DataFrame:
     """The four amounts, hour / weekday / weekend, and drop-first one-hot
     (``<column>_<value>``, 0/1) of the four categorical columns; nulls -> 0."""
     df = nan_to_null(coerce_timestamp(df_raw))
@@ -107,7 +112,8 @@ def build_transaction_features_legacy(df_raw: DataFrame) -> DataFrame:
     out = df.select(*keys, *[v.alias(k) for k, v in cols.items()],
                     *[F.col(c) for c in ("product_category", "payment_method", "device_type", "location")
                       if has(df, c)])
-    for c in ("product_category", "payment_method", "device_type", "location"):
-        if has(df, c):
-            out = one_hot(out, c, prefix=c, drop_first=True).drop(c)
+    cats = [c for c in ("product_category", "payment_method", "device_type", "location") if has(df, c)]
+    lists = value_lists(df, cols=cats) if cats and values is None else values or {}
+    for c in cats:
+        out = one_hot(out, c, prefix=c, drop_first=True, values=lists[c]).drop(c)
     return out.fillna(0.0, [k for k in cols])

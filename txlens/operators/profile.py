@@ -7,12 +7,12 @@ number of jobs. Quantiles use the distributed exact sort (no single-task merge).
 
 from __future__ import annotations
 
-from itertools import combinations
-
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txlens.functions.scalar import finite_or_null, round_half_up as R
+from txlens.operators.moments import pairwise_correlations
 from txlens.operators.quantiles import grouped_quantiles
 from txlens.sources.schema import categorical_columns, numeric_columns
 
@@ -116,27 +116,16 @@ def dtype_counts(df: DataFrame) -> DataFrame:
 
 
 def correlation(df: DataFrame, cols: list[str] | None = None, digits: int = 2) -> DataFrame:
-    """Pairwise Pearson correlation (pairwise-complete), all pairs in one aggregate.
+    """Pairwise Pearson correlation (pairwise-complete) from one pass of moments.
 
-    Output is long: (feature_i, feature_j, corr) for i < j, plus the diagonal.
-    Constant columns give null (pandas NaN).
+    Output is long: (feature_i, feature_j, corr) for every ordered pair, the
+    diagonal included. Constant columns give null.
     """
     cols = cols or numeric_columns(df)
-    pairs = list(combinations(cols, 2))
-    # covariance / (std * std) with try_divide: a constant column gives null
-    # (Spark's corr raises on a zero variance under ANSI mode)
-    def corr(a, b):
-        x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        both = F.when(x.isNotNull() & y.isNotNull(), F.lit(1))
-        xs, ys = F.when(both.isNotNull(), x), F.when(both.isNotNull(), y)
-        return F.try_divide(F.covar_samp(xs, ys), F.stddev_samp(xs) * F.stddev_samp(ys))
-
-    agg = df.agg(*[corr(a, b).alias(f"c_{k}") for k, (a, b) in enumerate(pairs)]) if pairs else None
-    entries = [F.struct(F.lit(a).alias("feature_i"), F.lit(b).alias("feature_j"),
-                        R(finite_or_null(F.col(f"c_{k}")), digits).alias("corr")) for k, (a, b) in enumerate(pairs)]
-    if agg is None:
-        return df.sparkSession.createDataFrame([], "feature_i string, feature_j string, corr double")
-    return agg.select(F.explode(F.array(*entries)).alias("r")).select("r.*")
+    corr = pairwise_correlations(df, cols)
+    rows = [(a, b, None if np.isnan(corr[i, j]) else float(corr[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "feature_i string, feature_j string, corr double") \
+             .withColumn("corr", R("corr", digits))
 
 
 def variances(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

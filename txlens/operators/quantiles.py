@@ -1,12 +1,13 @@
 """Exact linear-interpolated quantiles without a single-task merge.
 
 Spark's ``percentile`` aggregate merges a map of every distinct value into one
-final task for a global quantile, which does not survive a column of 10^12
-rows. Here the column is range-partitioned and sorted by Spark, every row gets
-its global rank from (partition id, position in partition) plus per-partition
-offsets, and only the rows at the needed ranks are kept. Everything is
-distributed; the only "global" tables have one row per sort partition or one
-row in total. The sorted column is checkpointed once (an eager job).
+final task, which does not survive a column of 10^12 rows. Here equal values are
+counted first (map-side combined, so ties of any number are one row), the
+distinct values are dealt by range and their counts summed up in order: each
+value then covers an interval of ranks, and only the values that cover a wanted
+rank are kept. Nothing is global but one row per range and the groups' sizes.
+The counted values are written once to the shared folder (a job of its own),
+since all readers must see the same ranges.
 
 Interpolation is ``lo + (hi - lo) * frac`` at position ``p * (n - 1)``, the
 definition of pandas / numpy ``linear`` and SQL ``quantile_cont``.
@@ -14,71 +15,61 @@ definition of pandas / numpy ``linear`` and SQL ``quantile_cont``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txlens.operators.cache import cut
-from txlens.session import checkpoint_dir
-
-_POS_BITS = 33  # monotonically_increasing_id: partition id above bit 33
-
-
-def _sort_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _ranked(values: DataFrame, order_cols: list[str],
-            partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Attach ``_rank`` (0-based global rank in ``order_cols`` order).
+def running_ranks(rows: DataFrame, order_cols: list[str], weight: str | None = None) -> DataFrame:
+    """``rows`` with ``_from`` and ``_upto``: the ranks, from 0, that each row covers in the global order.
 
-    ``repartitionByRange(n)`` sorts with a fixed partition count; the tagged
-    column is checkpointed, so every branch that reads the ranks sees the
-    same ids. Returns (ranked rows, per-partition counts).
+    A row covers ``weight`` ranks (default 1). Rows are dealt by range and staged
+    with their range's number; sums inside the ranges are shifted by the sizes
+    of the ranges before (one row each).
     """
-    n = partitions or _sort_partitions(values)
-    checkpoint_dir(values.sparkSession)
-    # The ids are written once (reliable checkpoint in the shared checkpoint
-    # folder): upstream shuffles give rows in a nondeterministic order, so
-    # recomputing the range partitioning per branch could disagree.
-    tagged = cut(values.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-                 .withColumn("_mid", F.monotonically_increasing_id()))
-    tagged = tagged.withColumn("_pid", F.shiftright("_mid", _POS_BITS)) \
-                   .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    # offsets has one row per sort partition: a proven-small broadcast.
-    ranked = (tagged.join(F.broadcast(offsets), "_pid")
-              .select(*values.columns, (F.col("_off") + F.col("_pos")).alias("_rank")))
-    return ranked, counts
+    w = F.col(weight) if weight else F.lit(1)
+    placed = cut(rows.repartitionByRange(*order_cols).withColumn("_range", F.spark_partition_id()))
+    sizes = placed.groupBy("_range").agg(F.sum(w).alias("_size"))
+    ahead = sizes.select("_range", (F.sum("_size").over(Window.orderBy("_range")) - F.col("_size")).alias("_ahead"))
+    inside = F.sum(w).over(Window.partitionBy("_range").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0))
+    out = placed.withColumn("_inside", inside).join(F.broadcast(ahead), "_range")
+    upto = F.col("_ahead") + F.col("_inside")
+    return out.select(*rows.columns, (upto - w).alias("_from"), upto.alias("_upto"))
+
+
+def _counted(df: DataFrame, by: list[str], value: Column) -> DataFrame:
+    """Distinct finite values per group with their intervals of ranks."""
+    vals = df.select(*by, value.cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    return running_ranks(vals.groupBy(*by, "v").agg(F.count(F.lit(1)).alias("_n")), [*by, "v"], "_n")
+
+
+def _picked(probs: list[float], names: list[str], total: Column, start: Column) -> tuple[list[Column], list[Column]]:
+    """Aggregates that pick the values at each wanted rank, and the interpolations of their results."""
+    aggs, out = [], []
+    for i, (p, name) in enumerate(zip(probs, names)):
+        h = F.lit(float(p)) * (total - 1)
+        for end, k in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            here = (F.col("_from") <= start + k) & (start + k < F.col("_upto"))
+            aggs.append(F.max(F.when(here, F.col("v"))).alias(f"_{end}{i}"))
+        aggs.append(F.max(h - F.floor(h)).alias(f"_frac{i}"))
+        out.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_frac{i}")).alias(name))
+    return aggs, out
 
 
 def quantiles_df(df: DataFrame, col: str | Column, probs: list[float],
                  names: list[str] | None = None) -> DataFrame:
-    """Global exact quantiles of one numeric column as a lazy one-row DataFrame.
+    """Global exact quantiles of one numeric column as a one-row DataFrame.
 
     Nulls and NaN are ignored; with no value left every quantile is null.
     """
     names = names or [f"q{i}" for i in range(len(probs))]
-    c = F.col(col) if isinstance(col, str) else col
-    vals = df.select(c.cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    ranked, counts = _ranked(vals, ["v"])
-    total = counts.agg(F.sum("_n").alias("_n"))
-    tcols = []
-    for i, p in enumerate(probs):
-        h = F.lit(float(p)) * (F.col("_n") - 1)
-        tcols += [F.floor(h).alias(f"_lo{i}"), F.ceil(h).alias(f"_hi{i}"), (h - F.floor(h)).alias(f"_fr{i}")]
-    targets = total.select(*tcols)  # one row
-    wanted = [F.col(f"_lo{i}") for i in range(len(probs))] + [F.col(f"_hi{i}") for i in range(len(probs))]
-    picked = ranked.crossJoin(F.broadcast(targets)).where(F.col("_rank").isin(*wanted))
-    aggs = []
-    for i in range(len(probs)):
-        aggs += [F.max(F.when(F.col("_rank") == F.col(f"_lo{i}"), F.col("v"))).alias(f"_vlo{i}"),
-                 F.max(F.when(F.col("_rank") == F.col(f"_hi{i}"), F.col("v"))).alias(f"_vhi{i}"),
-                 F.max(F.col(f"_fr{i}")).alias(f"_fr{i}")]
-    one = picked.agg(*aggs)
-    return one.select(*[(F.col(f"_vlo{i}") + (F.col(f"_vhi{i}") - F.col(f"_vlo{i}")) * F.col(f"_fr{i}")).alias(nm)
-                        for i, nm in enumerate(names)])
+    counted = _counted(df, [], F.col(col) if isinstance(col, str) else col)
+    total = counted.agg(F.sum("_n").alias("_total"))  # one row
+    aggs, out = _picked(probs, names, F.col("_total"), F.lit(0))
+    return counted.crossJoin(F.broadcast(total)).agg(*aggs).select(*out)
 
 
 def quantiles(df: DataFrame, col: str | Column, probs: list[float],
@@ -99,31 +90,27 @@ def quantiles(df: DataFrame, col: str | Column, probs: list[float],
 
 def grouped_quantiles(df: DataFrame, by: list[str], col: str, probs: list[float],
                       names: list[str] | None = None) -> DataFrame:
-    """Exact quantiles of ``col`` per group, one row per group (lazy DataFrame).
+    """Exact quantiles of ``col`` per group, one row per group.
 
-    Rows are sorted by (group, value); a group's rows hold consecutive global
-    ranks, so its k-th value is at rank ``start + k``. No group is ever
-    gathered into one task, however large it is.
+    A group's values hold consecutive ranks, so its k-th value is at rank
+    ``start + k``. No group is ever gathered into one task, however large it is.
     """
     names = names or [f"q{int(round(p * 1000)):03d}" for p in probs]
-    vals = df.select(*by, F.col(col).cast("double").alias("v")) \
-             .where(F.col("v").isNotNull() & ~F.isnan("v"))
-    ranked, _ = _ranked(vals, by + ["v"])
-    groups = ranked.groupBy(*by).agg(F.min("_rank").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    pos = [F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)]
-    targets = (groups.select(*by, "_start", "_n", F.explode(F.array(*pos)).alias("t"))
-               .select(*by, "_start", F.col("t.i").alias("_i"),
-                       (F.col("t.p") * (F.col("_n") - 1)).alias("_h")))
-    targets = targets.select(*by, "_i",
-                             (F.col("_start") + F.floor("_h")).alias("_lo"),
-                             (F.col("_start") + F.ceil("_h")).alias("_hi"),
-                             (F.col("_h") - F.floor("_h")).alias("_frac"))
-    picks = ranked.select("_rank", "v")
-    lo = picks.withColumnRenamed("_rank", "_lo").withColumnRenamed("v", "_vlo")
-    hi = picks.withColumnRenamed("_rank", "_hi").withColumnRenamed("v", "_vhi")
-    # targets has (#groups x #probs) rows; joined by unique rank, so no key is
-    # hot; AQE broadcasts it when it is small.
-    joined = targets.join(lo, "_lo").join(hi, "_hi")
-    val = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")
-    return joined.groupBy(*by).agg(*[F.max(F.when(F.col("_i") == i, val)).alias(nm)
-                                     for i, nm in enumerate(names)])
+    counted = _counted(df, by, F.col(col))
+    groups = counted.groupBy(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(by)]).agg(
+        F.min("_from").alias("_start"), F.sum("_n").alias("_total"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(by)])
+    aggs, out = _picked(probs, names, F.col("_total"), F.col("_start"))
+    return counted.join(groups, same).groupBy(*by).agg(*aggs).select(*by, *out)
+
+
+def row_ranks(df: DataFrame, col: str, chunk: int = 1_000_000) -> DataFrame:
+    """``v, _rank`` for every finite value of ``col``: its place from 0 in ascending order.
+
+    Equal values are one counted row until the end, where they are spread out
+    in chunks, so ties do not meet in one task.
+    """
+    counted = _counted(df, [], F.col(col))
+    chunks = counted.select("v", "_upto", F.explode(F.sequence(F.col("_from"), F.col("_upto") - 1, F.lit(chunk).cast("long"))).alias("_at"))
+    last = F.least(F.col("_at") + chunk, F.col("_upto")) - 1
+    return chunks.select("v", F.explode(F.sequence("_at", last)).alias("_rank"))

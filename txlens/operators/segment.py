@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from txlens.operators.anomaly import Scaler, prepare_for_anomaly_detection
@@ -29,6 +29,9 @@ def _vectors(df: DataFrame, cols: list[str], keys: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=cols, outputCol="features").transform(df).select(*keys, *cols, "features")
 
 
+MAX_CLUSTERS = 1000
+
+
 def prepare_for_clustering(df: DataFrame, keys: list[str]) -> DataFrame:
     """M4: drop all-null / non-numeric columns, median-fill."""
     return prepare_for_anomaly_detection(df, keys)
@@ -60,45 +63,43 @@ def elbow_curve(df: DataFrame, keys: list[str], k_min: int = 2, k_max: int = 10,
 
 
 def suggest_k(curve: DataFrame, method: str = "elbow") -> int:
-    """M23 + E5: elbow = k at argmax |second difference| (+1), silhouette = argmax,
-    combined = integer mean of both. The curve has one row per k."""
-    rows = sorted(curve.collect(), key=lambda r: r["k"])
-    ks = [r["k"] for r in rows]
-    if method == "elbow":
-        d2 = np.diff(np.diff([r["inertia"] for r in rows]))
-        return ks[int(np.argmax(np.abs(d2))) + 1] if len(d2) else (ks[2] if len(ks) > 2 else ks[0])
-    if method == "silhouette":
-        valid = [(r["k"], r["silhouette"]) for r in rows if r["silhouette"] is not None]
-        return max(valid, key=lambda t: t[1])[0] if valid else ks[0]
-    if method == "combined":
-        return int(np.mean([suggest_k(curve, "elbow"), suggest_k(curve, "silhouette")]))
-    raise ValueError(f"unknown method: {method}")
+    """M23 + E5 on the curve table (one row per k).
+
+    elbow: the inner k whose second difference of inertia is largest in size;
+    silhouette: the k with the best silhouette; combined: the integer mean of
+    both. Ties go to the smaller k; without a candidate the smallest k is taken.
+    """
+    if method not in ("elbow", "silhouette", "combined"):
+        raise ValueError(f"unknown method: {method}")
+    w = Window.orderBy("k")
+    bend = F.abs(F.lead("inertia").over(w) - 2 * F.col("inertia") + F.lag("inertia").over(w))
+    best = lambda c: F.coalesce(F.max_by(F.when(F.col(c).isNotNull(), F.col("k")),
+                                         F.when(F.col(c).isNotNull(), F.struct(F.col(c), -F.col("k")))), F.min("k"))
+    k = curve.withColumn("bend", bend).agg(best("bend").alias("elbow"), best("silhouette").alias("silhouette")) \
+             .withColumn("combined", F.floor((F.col("elbow") + F.col("silhouette")) / 2))
+    return int(k.first()[method])
 
 
 def davies_bouldin(labelled: DataFrame, cols: list[str], label: str = "cluster") -> float:
     """Mean over clusters of max_j (s_i + s_j) / d(c_i, c_j).
 
-    Centroids and mean distances are two aggregates; the k x k comparison
-    runs on the k centroids only."""
-    cent = labelled.groupBy(label).agg(*[F.avg(c).alias(c) for c in cols])
-    cc = cent.select(label, *[F.col(c).alias(f"_c_{c}") for c in cols])
-    j = labelled.join(F.broadcast(cc), label)  # k rows
-    dist = F.sqrt(sum(((F.col(c) - F.col(f"_c_{c}")) ** 2 for c in cols), F.lit(0.0)))
-    s = {r[label]: r["s"] for r in j.groupBy(label).agg(F.avg(dist).alias("s")).collect()}
-    cents = {r[label]: np.array([r[c] for c in cols], dtype=float) for r in cent.collect()}
-    labels = sorted(cents)
-    if len(labels) < 2:
+    Centroids and mean distances are two aggregates over the rows; clusters are
+    compared on the table of centroids, which must have at most ``MAX_CLUSTERS``
+    rows. Clusters with the same centroid are not compared with each other.
+    """
+    cent = labelled.groupBy(label).agg(*[F.avg(c).alias(f"_c_{c}") for c in cols])
+    found = cent.limit(MAX_CLUSTERS + 1).collect()
+    if len(found) > MAX_CLUSTERS:
+        raise ValueError(f"{label} has more than {MAX_CLUSTERS} values: not a cluster number")
+    if len(found) < 2:
         return 0.0
-    total = 0.0
-    for a in labels:
-        best = 0.0
-        for b in labels:
-            if a == b:
-                continue
-            d = float(np.linalg.norm(cents[a] - cents[b]))
-            best = max(best, (s[a] + s[b]) / d if d > 0 else float("inf"))
-        total += best
-    return total / len(labels)
+    dist = F.sqrt(sum(((F.col(c) - F.col(f"_c_{c}")) ** 2 for c in cols), F.lit(0.0)))
+    spread = dict(map(tuple, labelled.join(F.broadcast(cent), label).groupBy(label).agg(F.avg(dist)).collect()))
+    x = np.array([[r[f"_c_{c}"] for c in cols] for r in found], dtype=float)
+    s = np.array([spread[r[label]] for r in found])
+    apart = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))
+    worst = np.divide(s[:, None] + s[None, :], apart, out=np.zeros_like(apart), where=apart > 0)
+    return float(worst.max(1).mean())
 
 
 @dataclass

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txlens.operators.moments import pairwise_correlations
 from txlens.sources.schema import numeric_columns
 
 
@@ -15,21 +15,12 @@ def filter_important_features(df: DataFrame, correlation_threshold: float = 0.95
     """Drop columns with sample variance < ``variance_threshold``, then every
     column whose |Pearson correlation| with an *earlier* remaining column
     exceeds ``correlation_threshold`` (even if that earlier column is itself
-    dropped). Variances and all pairwise correlations come from two aggregates;
+    dropped). Correlations are pairwise-complete, as in D29;
     the decisions are plan-time column choices."""
     keys = [k for k in (keys or []) if k in df.columns]
     cols = [c for c in numeric_columns(df) if c not in keys]
     var = df.agg(*[F.var_samp(F.col(c).cast("double")).alias(c) for c in cols]).collect()[0]
     kept = [c for c in cols if var[c] is None or var[c] >= variance_threshold]
-    pairs = list(combinations(range(len(kept)), 2))
-    drop = set()
-    if pairs:
-        def corr(a, b):
-            x, y = F.col(a).cast("double"), F.col(b).cast("double")
-            return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
-        row = df.agg(*[corr(kept[i], kept[j]).alias(f"c{i}_{j}") for i, j in pairs]).collect()[0]
-        for i, j in pairs:
-            v = row[f"c{i}_{j}"]
-            if v is not None and v == v and abs(v) > correlation_threshold:
-                drop.add(kept[j])
+    corr = np.abs(pairwise_correlations(df, kept))
+    drop = {c for j, c in enumerate(kept) if (corr[:j, j] > correlation_threshold).any()}
     return df.select(*keys, *[c for c in kept if c not in drop])

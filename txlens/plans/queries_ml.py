@@ -34,7 +34,7 @@ _CACHE: dict = {}
 
 
 def _cached(spark: SparkSession, sf: str, name: str, build):
-    key = (id(spark), sf, name)
+    key = (spark.sparkContext.applicationId, sf, name)
     if key not in _CACHE:
         _CACHE[key] = build()
     return _CACHE[key]
@@ -70,6 +70,23 @@ def _attr(spark, sf):
     return _cached(spark, sf, "attr", build)
 
 
+def _flags(spark, sf):
+    """M26 flags of every transaction."""
+    def build():
+        x, _ = _forest_x(spark, sf)
+        return cut(IF.flag(IF.score_samples(_forest(spark, sf), x, ["transaction_id"]), 0.02))
+    return _cached(spark, sf, "flags", build)
+
+
+def _flagged_attr(spark, sf):
+    """Attributions of every flagged transaction."""
+    def build():
+        x, _ = _forest_x(spark, sf)
+        rows = x.join(_flags(spark, sf).where("is_anomaly").select("transaction_id"), "transaction_id", "left_semi")
+        return cut(X.shap_values(_forest(spark, sf), rows, "transaction_id"))
+    return _cached(spark, sf, "flagged_attr", build)
+
+
 def _scratch(spark) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/txlens-out-{uuid.uuid4().hex}"
 
@@ -154,8 +171,7 @@ def q_nodes(spark, sf):
 
 @register("m25_iforest_scores")
 def q_iforest_scores(spark, sf):
-    x, _ = _forest_x(spark, sf)
-    return IF.flag(IF.score_samples(_forest(spark, sf), x, ["transaction_id"]), 0.02)
+    return _flags(spark, sf)
 
 
 @register("m31_shap_values")
@@ -165,11 +181,13 @@ def q_shap(spark, sf):
 
 @register("f3_top_shap_features")
 def q_top_shap(spark, sf):
-    return X.top_features(_attr(spark, sf), "transaction_id", 10)
+    """The ten strongest features of every flagged transaction."""
+    return X.top_features(_flagged_attr(spark, sf), "transaction_id", 10)
 
 
 @register("d38_shap_importance")
 def q_shap_imp(spark, sf):
+    """Over the 200-row seeded sample that summaries are made of (as is d39)."""
     return X.global_importance(_attr(spark, sf), 15)
 
 
@@ -181,12 +199,12 @@ def q_shap_stats(spark, sf):
 @register("m33_explanations")
 def q_explain(spark, sf):
     raw = tx_from_orders(spark, sf)
-    return X.explain_text(_attr(spark, sf), raw, "transaction_id", 5)
+    return X.explain_text(_flagged_attr(spark, sf), raw, "transaction_id", 5, flags=_flags(spark, sf))
 
 
 @register("m34_waterfall")
 def q_waterfall(spark, sf):
-    return X.waterfall(_attr(spark, sf), "transaction_id")
+    return X.waterfall(_flagged_attr(spark, sf), "transaction_id")
 
 
 @register("m41_training_report")
@@ -212,8 +230,7 @@ def q_a1(spark, sf):
 @register("a8_anomaly_csv_export")
 def q_a8(spark, sf):
     from txlens.operators.anomaly import analyze_anomalies
-    x, _ = _forest_x(spark, sf)
-    sc = IF.flag(IF.score_samples(_forest(spark, sf), x, ["transaction_id"]), 0.02)
+    sc = _flags(spark, sf)
     flagged = analyze_anomalies(tx_from_orders(spark, sf).select("transaction_id", "user_id", "product_amount"),
                                 sc.select("transaction_id", "anomaly_score"))
     path = write_csv(flagged.where("is_above_threshold"), _scratch(spark))

@@ -113,12 +113,11 @@ def q_d28(spark, sf):
 # --- D29: correlation of the user features ------------------------------------
 
 def _corr_sql() -> str:
-    from itertools import combinations
     from txlens.operators.user_features import USER_FEATURE_COLUMNS
     cols = [c for c in USER_FEATURE_COLUMNS if c in _EVENTS_UF_COLS]
     parts = [f"SELECT '{a}' AS feature_i, '{b}' AS feature_j, "
              f"{SR(Q.fin(f'covar_samp({a}, {b}) / nullif(stddev_samp({a}) * stddev_samp({b}), 0)'), 2)} AS corr FROM uf"
-             for a, b in combinations(cols, 2)]
+             for a in cols for b in cols]
     return f"WITH {Q.user_features_ctes('events', '2026-01-01 00:00:00')} {_union(parts)}"
 
 

@@ -17,7 +17,7 @@ from txlens.functions.clean import preprocess_transactions
 from txlens.operators import explain as X
 from txlens.operators import iforest as IF
 from txlens.operators.anomaly import analyze_anomalies, prepare_for_anomaly_detection
-from txlens.operators.cache import cut, materialize
+from txlens.operators.cache import cut
 from txlens.operators.segment import KMeansResult, train_kmeans
 from txlens.operators.tx_features import build_transaction_features
 from txlens.operators.user_features import build_user_features
@@ -30,8 +30,8 @@ def write_parquet(df: DataFrame, path: str) -> str:
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    """A8 sink: CSV with header, timestamps with microseconds."""
-    df.write.mode("overwrite").option("header", True) \
+    """A8 sink: CSV with header, RFC 4180 quotes, timestamps with microseconds."""
+    df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"') \
         .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
     return path
 
@@ -56,7 +56,7 @@ def forest_inputs(tx_features: DataFrame, key: str = "transaction_id") -> tuple[
 def run_training(spark: SparkSession, raw: DataFrame, out_dir: str | None = None, as_of: str | None = None,
                  n_clusters: int = 4, contamination: float = 0.02, n_trees: int = 100,
                  shap_sample: int = 200, seed: int = 42) -> TrainingOutputs:
-    pre = materialize(preprocess_transactions(raw))
+    pre = cut(preprocess_transactions(raw))
     uf = cut(build_user_features(pre, as_of=as_of, preprocessed=True))
     tf = cut(build_transaction_features(pre, preprocessed=True))
     km = train_kmeans(uf, ["user_id"], n_clusters)
