@@ -46,8 +46,20 @@ def pairwise_correlations(df: DataFrame, cols: list[str]) -> np.ndarray:
     with np.errstate(divide="ignore", invalid="ignore"):
         cov = sxy - sx * sx.T / n
         var = sxx - sx ** 2 / n
-        scale = var * var.T
-        # A constant column has no correlation; rounding may leave a trace of variance.
-        flat = (var <= 1e-12 * np.maximum(sxx, 1e-300)) | (n < 2)
-        out = np.where(flat | flat.T, np.nan, cov / np.sqrt(scale))
-    return np.clip(out, -1, 1)
+        out = np.clip(cov / np.sqrt(var * var.T), -1, 1)
+        # Where a variance is lost against the squares (constant columns, or a pair whose
+        # common rows lie far from the column's mean) the pair is aggregated by itself.
+        lost = ~(var > 1e-8 * sxx) & (n > 1)
+    out[n < 2] = np.nan
+    pairs = [(i, j) for i in range(p) for j in range(i, p) if lost[i, j] or lost[j, i]]
+    if pairs:
+        def corr(a, b):
+            both = a.isNotNull() & b.isNotNull()
+            a, b = F.when(both, a), F.when(both, b)
+            return F.try_divide(F.covar_samp(a, b), F.stddev_samp(a) * F.stddev_samp(b))
+        for lo in range(0, len(pairs), 50):
+            some = pairs[lo:lo + 50]
+            row = df.agg(*[corr(x[i], x[j]).alias(f"c{k}") for k, (i, j) in enumerate(some)]).first()
+            for (i, j), r in zip(some, row):
+                out[i, j] = out[j, i] = np.nan if r is None else r
+    return out
