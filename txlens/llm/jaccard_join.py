@@ -132,9 +132,16 @@ def _hamming(a: str, b: str) -> Column:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose sets are linked, by exact intersection."""
-    left = pairs.join(sets.select(F.col("u").alias("a"), F.col("s").alias("sa")), "a")
-    both = left.join(sets.select(F.col("u").alias("b"), F.col("s").alias("sb")), "b")
+    """The staged pairs ``a, b`` whose sets are linked, by exact intersection.
+
+    The pairs are brought to the sets, so that only sets of a pair move: each set once
+    for every pair where it is ``b``, and once where it is ``a`` of any.
+    """
+    firsts = stage(pairs.select("a").distinct(), "jaccard-firsts")
+    few = fits_broadcast(pairs, 24, KEY_BROADCAST)
+    left = sets.select(F.col("u").alias("a"), F.col("s").alias("sa")).join(F.broadcast(firsts) if few else firsts, "a", "left_semi")
+    right = sets.select(F.col("u").alias("b"), F.col("s").alias("sb")).join(F.broadcast(pairs) if few else pairs, "b")
+    both = right.join(left, "a")
     shared = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - shared
     return both.where(100 * shared >= percent * union).select("a", "b")
@@ -145,8 +152,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row per input row: ``id_col, n_shingles, component_id`` (smallest id reachable by links, itself included).
 
     Ids are integers. Texts without words, and null texts, have empty sets and
-    are linked with nothing. Repeated rows share a component; of rows that repeat
-    an id with different texts each has its own set but they count as one document.
+    are linked with nothing. Repeated rows share a component. Rows that repeat an
+    id with different texts count as one document: it is linked by copies of any of
+    its sets, and near copies are verified against one of them.
     A row without id is linked with nothing. Other columns are ignored; an empty
     table gives no rows.
     """
@@ -178,15 +186,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     needed = stage(group.select("u").distinct(), "jaccard-needed")
     ids = needed.select(F.col("u").cast("string").alias("u"))
     chosen = rows.join(F.broadcast(ids) if fits_broadcast(needed, 64, KEY_BROADCAST) else ids, "u", "left_semi")
-    sets = stage(_full_sets(chosen, width).dropDuplicates(["u"]), "jaccard-full")
+    sets = _full_sets(chosen, width)
+    if not named.groupBy("u").count().where("count > 1").isEmpty():
+        sets = sets.dropDuplicates(["u"])  # repeated ids
+    sets = stage(sets, "jaccard-full")
 
     # First every member against its key's pivot, the member sharing most blocks.
     share = F.col("degree") / F.col("n")
     pivot = stage(group.groupBy("k").agg(F.max(F.struct(share.alias("w"), (-F.col("u")).alias("m"))).alias("p"))
                   .select("k", (-F.col("p.m")).alias("a")), "jaccard-pivots")
     pairs = lookup(group.select("k", "u"), pivot, ["k"], "inner", 24).where("a <> u").select(
-        F.least("a", "u").alias("a"), F.greatest("a", "u").alias("b")).distinct()
-    links = stage(_verified(pairs, sets, percent), "jaccard-links")
+        "a", F.col("u").alias("b")).distinct()
+    links = stage(_verified(stage(pairs, "jaccard-pairs"), sets, percent), "jaccard-links")
     label = stage(components(links), "jaccard-labels")
 
     # Then the pairs of each key that are not in one component yet.
