@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txlens.llm.common import stage
+from txlens.llm.common import fits_broadcast, stage
 
 SAMPLE_DOCS = 1500      # labelled documents of each class that the fit may gather
 SAMPLE_CHARS = 20_000   # longest document (whole) that the sample takes
@@ -35,6 +35,7 @@ PREFIXES = (3, 4, 5, 6)
 BUCKETS = 1 << 16
 MEMORY = 400_000        # words whose score a worker remembers
 CHUNK = 400_000         # words scored at once
+LABEL_BYTES = 32 << 20  # labels are broadcast up to this measured size
 RESULT = "struct<score:double,spans:array<struct<start:long,end:long>>>"
 _WORD = re.compile(r"\S+")
 _EDGE = " \t.,;:!?\"'()[]{}<>*#$%&+=~|/\\_-`^@"
@@ -304,7 +305,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
                   label_col: str = "toxic") -> DataFrame:
     """Labelled rows that are not held out: ``id_col, text_col, label_col``.
 
-    A document labelled more than once takes its largest label.
+    A document labelled more than once takes its largest label. Labels are
+    broadcast up to a measured ``LABEL_BYTES``, so that the text stays in its scan;
+    beyond that both sides are shuffled by id.
     """
-    known = labels.where(F.col(id_col).isNotNull() & ~held_out(F.col(id_col))).groupBy(id_col).agg(F.max(label_col).alias(label_col))
+    known = stage(labels.where(F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
+                  .groupBy(id_col).agg(F.max(label_col).alias(label_col)), "toxic-labels")
+    known = F.broadcast(known) if fits_broadcast(known, 24, LABEL_BYTES) else known
     return docs.select(id_col, text_col).join(known, id_col)
