@@ -4,7 +4,7 @@ Terms are the distinct lower-cased words of a text, held as 64-bit hashes. The
 lexicon keeps terms whose inverse document frequency lies in a band; the band's
 upper end is a share of the documents, so the lexicon has at most (mean distinct terms of a
 document / share) entries however many documents there are. A fingerprint is the
-list of hashes of a text's sorted lexicon terms inside several random subsets of
+list of hashes of a text's distinct lexicon terms inside several random subsets of
 the lexicon, ``SUBSETS`` at each of several rates: a long text agrees with an edited
 one in sparse subsets, a short one in dense subsets.
 """
@@ -22,7 +22,6 @@ SUBSETS = 8
 LEVELS = 5             # level l takes one term in 8 * 4^l into each of its subsets
 FEW_TERMS = 10         # a text with fewer distinct terms is fingerprinted by all of them
 MIN_INFORMED = 4       # subsets of a level that must hold terms for the level to count
-_EVERY = 0             # stands in the lexicon so that every text keeps a row
 
 
 def terms(text: Column) -> Column:
@@ -39,40 +38,30 @@ def lexicon(docs: DataFrame, text_col: str = "text", least: float = LEAST_SHARE,
     n = docs.count()
     df = docs.select(F.explode(terms(F.col(text_col))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     kept = df.where((F.col("df") >= max(2.0, least * n)) & (F.col("df") <= max(2.0, most * n))).select("term")
-    every = docs.sparkSession.range(1).select(F.lit(_EVERY).cast("long").alias("term"))
-    return stage(kept.unionByName(every), "imatch-lexicon")
-
-
-def _subset_hashes(sorted_terms: str) -> list[Column]:
-    """One column per level: the hashes of the level's subsets, 0 for a subset without terms."""
-    def level(lv: int) -> Column:
-        place = lambda t: F.pmod(F.xxhash64(t, F.lit(lv)), F.lit(SUBSETS * 4 ** lv))
-        mine = F.filter(sorted_terms, lambda t: place(t) < SUBSETS)
-        def one(j):
-            own = F.filter(mine, lambda t: place(t) == j)
-            return F.when(F.size(own) > 0, F.xxhash64(own).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).otherwise(0)
-        return F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), one)
-    return [level(lv) for lv in range(LEVELS)]
+    return stage(kept, "imatch-lexicon")
 
 
 def fingerprint(texts: DataFrame, keys: list[str], text_col: str, lex: DataFrame) -> DataFrame:
     """``keys, whole, marks`` for rows that are unique by ``keys``.
 
     ``whole`` hashes all distinct terms; ``marks`` holds the subset hashes, level
-    after level. Rows already dealt by (some of) ``keys`` are not shuffled again:
-    terms are exploded, matched to the broadcast lexicon and gathered in place.
+    after level, 0 for a subset without terms. The hash of a subset's terms is
+    the exclusive-or of the terms' own hashes, which needs no order, so no list of terms is
+    gathered: each term adds to its subsets in one aggregate. Rows already dealt
+    by (some of) ``keys`` are not shuffled for it.
     """
     found = texts.select(*keys, terms(F.col(text_col)).alias("_t"))
-    few = F.size("_t") < FEW_TERMS
-    every = F.array(F.lit(_EVERY).cast("long"))
-    found = found.select(*keys, F.xxhash64("_t").alias("whole"), F.when(few, F.col("_t")).alias("_few"),
-                         F.when(few, every).otherwise(F.concat(every, F.col("_t"))).alias("_t"))
-    rows = found.select(*keys, "whole", "_few", F.explode("_t").alias("term"))
-    rows = rows.join(F.broadcast(lex) if fits_broadcast(lex, 16, 32 << 20) else lex, "term")
-    got = rows.groupBy(*keys).agg(F.first("whole").alias("whole"), F.first("_few").alias("_few"), F.collect_list("term").alias("_in"))
-    own = F.coalesce("_few", F.array_sort(F.filter("_in", lambda t: t != _EVERY)))
-    got = got.select(*keys, "whole", own.alias("_own"))
-    return got.select(*keys, "whole", F.concat(*_subset_hashes("_own")).alias("marks"))
+    found = found.select(*keys, F.xxhash64("_t").alias("whole"), (F.size("_t") < FEW_TERMS).alias("_few"), F.explode_outer("_t").alias("term"))
+    marked = lex.withColumn("_in", F.lit(True))
+    rows = found.join(F.broadcast(marked) if fits_broadcast(lex, 16, 32 << 20) else marked, "term", "left")
+    taken = F.col("term").isNotNull() & (F.col("_few") | F.col("_in").isNotNull())
+    rows = rows.select(*keys, "whole", F.when(taken, F.xxhash64("term", F.lit(1))).alias("_place"), F.xxhash64("term", F.lit(2)).alias("_hash"))
+    # Level l deals the lexicon into 8 * 4^l parts and uses its first 8 as subsets.
+    subsets = [F.bit_xor(F.when(F.col("_place").bitwiseAND(F.lit(SUBSETS * 4 ** lv - 1)) == j, F.col("_hash")))
+               for lv in range(LEVELS) for j in range(SUBSETS)]
+    got = rows.groupBy(*keys).agg(F.first("whole").alias("whole"), *[x.alias(f"_s{i}") for i, x in enumerate(subsets)])
+    mark = lambda c: F.coalesce(F.col(c).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"), F.lit(0))
+    return got.select(*keys, "whole", F.array(*[mark(f"_s{i}") for i in range(len(subsets))]).alias("marks"))
 
 
 def shown(whole: str, marks: str) -> Column:
@@ -134,13 +123,14 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     versions = both.select(*key, F.explode(F.array(F.struct(F.lit(0).alias("v"), F.col("_text").alias("t")),
                                                    F.struct(F.lit(1).alias("v"), F.col("_edited").alias("t")))).alias("e"))
     versions = versions.select(*key, F.col("e.v").alias("v"), F.col("e.t").alias("t"))
-    marks = stage(fingerprint(versions, [*key, "v"], "t", lex), "imatch-marks")
-    hashes = stage(both.select(*key, F.sha2("_edited", 256).alias("edited_sha256")), "imatch-edited")
-
-    own = marks.where("v = 0").select(*key, F.col("whole").alias("w0"), F.col("marks").alias("m0"))
-    edit = marks.where("v = 1").select(*key, F.col("whole").alias("w1"), F.col("marks").alias("m1"))
+    marks = fingerprint(versions, [*key, "v"], "t", lex)
+    pick = lambda v, c: F.max(F.when(F.col("v") == v, F.col(c)))
+    marks = marks.groupBy(*key).agg(pick(0, "whole").alias("w0"), pick(0, "marks").alias("m0"), pick(1, "whole").alias("w1"), pick(1, "marks").alias("m1"))
+    # One job for both, so that the text is dealt once.
+    marks = stage(marks.join(both.select(*key, F.sha2("_edited", 256).alias("edited_sha256")), key), "imatch-marks")
+    own = marks.select(*key, "w0", "m0")
     nxt = own.select(*[F.col(c).alias(f"next{c}") for c in key], F.col("w0").alias("w2"), F.col("m0").alias("m2"))
-    out = order.join(own, key).join(edit, key).join(hashes, key).join(nxt, [f"next{c}" for c in key])
+    out = order.join(marks, key).join(nxt, [f"next{c}" for c in key])
     out = out.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
     return out.select(F.when(~F.col("_null"), F.col("_i")).alias(id_col), F.col("n").alias("n_chars"), "edited_sha256",
                       shown("w0", "m0").alias("fingerprint"), shown("w1", "m1").alias("edited_fingerprint"),
