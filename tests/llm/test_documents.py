@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 import struct
 import sys
@@ -9,6 +10,7 @@ import zlib
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 import nasty  # noqa: E402
@@ -142,6 +144,32 @@ def test_imatch_matches_brute_force(spark, docs, none):
     assert one.edited_sha256 == hashlib.sha256(b"abcdab").hexdigest()
 
 
+def test_imatch_in_a_family_that_holds_a_third_of_the_rows(spark):
+    """Near copies, and exact copies, of one text make its terms frequent; its likenesses stay."""
+    base = " ".join(f"base{k}" for k in range(300))
+    shared = [f"word{k}" for k in range(400)]
+    pick = lambda i: " ".join(random.Random(i).sample(shared, 15) + [f"own{i}x{k}" for k in range(5)])
+    other = [(2 * i, pick(i), "a") for i in range(200)]
+    for family in ([base.replace("base299", f"end{i}", 1) for i in range(100)], [base] * 100,
+                   [nasty.edited(base, 0.05, i).replace("edit", "word0") + " " + " ".join(shared[i:i + 12]) for i in range(100)]):
+        rows = other + [(2 * (i % 50) + 1 + 400 * (i // 50), t, "a") for i, t in enumerate(family)]
+        got = {r.doc_id: r for r in imatch.edited_fingerprints(nasty.docs(spark, rows)).collect()}
+        ours = [got[i] for i, _, _ in rows if i % 2]
+        assert min(r.near_edited for r in ours) > 0.1
+        inside = [r.near_next for r in ours if r.doc_id > 401]
+        assert len(inside) == 49 and min(inside) > 0.3
+        assert max(r.near_next for r in ours if r.doc_id < 100) < 0.1  # a document of another kind
+
+
+def test_imatch_counts_copies_once(spark):
+    rows = [(i, "copied text here", "a") for i in range(60)] + [(100 + i, f"copied plus{i}", "a") for i in range(1)]
+    rows += [(200 + i, f"text{i} shared{i // 2}", "a") for i in range(59)]
+    rows += [(None, None, "a"), (301, "", "a")]
+    word = lambda w: spark.range(1).select(imatch.terms(F.lit(w)).alias("t")).first().t[0]
+    kept = {r.term for r in imatch.lexicon(nasty.docs(spark, rows)).collect()}
+    assert kept == {word(w) for w in ["copied"] + [f"shared{k}" for k in range(29)]}
+
+
 def test_imatch_runs_no_python(docs):
     plan = imatch.edited_fingerprints(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

@@ -1,12 +1,14 @@
 """I-Match fingerprints with randomised lexicons, in DataFrame operations only.
 
 Terms are the distinct lower-cased words of a text, held as 64-bit hashes. The
-lexicon keeps terms whose inverse document frequency lies in a band; the band's
-upper end is a share of the documents, so the lexicon has at most (mean distinct terms of a
-document / share) entries however many documents there are. A fingerprint is the
+lexicon keeps terms whose inverse document frequency, over distinct texts, lies in a
+band; the band's upper end is a share of the texts, so the lexicon has at most (mean distinct
+terms of a text / share) entries however many texts there are. A fingerprint is the
 list of hashes of a text's distinct lexicon terms inside several random subsets of
 the lexicon, ``SUBSETS`` at each of several rates: a long text agrees with an edited
-one in sparse subsets, a short one in dense subsets.
+one in sparse subsets, a short one in dense subsets. The same subsets are hashed over
+all terms too: two texts are compared by these when the lexicon misses most of either,
+as it does for a family of near copies whose terms are frequent by the family alone.
 """
 
 from __future__ import annotations
@@ -20,7 +22,8 @@ MOST_SHARE = 0.05      # lowest inverse document frequency kept: ln(1 / 0.05)
 LEAST_SHARE = 0.0005   # highest: ln(1 / 0.0005)
 SUBSETS = 8
 LEVELS = 5             # level l takes one term in 8 * 4^l into each of its subsets
-FEW_TERMS = 10         # a text with fewer distinct terms is fingerprinted by all of them
+FEW_TERMS = 10         # a text with fewer lexicon terms is compared by all its terms,
+LEAST_KNOWN = 0.25     # and so is one whose lexicon terms are a smaller share of its terms
 MIN_INFORMED = 4       # subsets of a level that must hold terms for the level to count
 
 
@@ -31,12 +34,19 @@ def terms(text: Column) -> Column:
 
 
 def lexicon(docs: DataFrame, text_col: str = "text", least: float = LEAST_SHARE, most: float = MOST_SHARE) -> DataFrame:
-    """Staged ``term`` hashes whose document frequency is within the band, counted over all rows.
+    """Staged ``term`` hashes whose document frequency is within the band, counted over all distinct texts.
 
-    A term must occur in two documents at least.
+    A term must occur in two texts at least. Only texts that have copies are shuffled,
+    one of each from a map task at most.
     """
-    n = docs.count()
-    df = docs.select(F.explode(terms(F.col(text_col))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    rows = docs.select(F.coalesce(text_col, F.lit("")).alias("_t")).select(F.xxhash64("_t").alias("_h"), "_t")
+    hashes = stage(rows.groupBy("_h").agg(F.count(F.lit(1)).alias("times")), "imatch-texts")
+    n = hashes.count()
+    copied = stage(hashes.where("times > 1").select("_h"), "imatch-copied")
+    few = F.broadcast(copied) if fits_broadcast(copied, 16) else copied
+    once = rows.join(few, "_h", "left_anti").select("_t")
+    once = once.unionByName(rows.join(few, "_h", "left_semi").groupBy("_h").agg(F.first("_t").alias("_t")).select("_t"))
+    df = once.select(F.explode(terms(F.col("_t"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     kept = df.where((F.col("df") >= max(2.0, least * n)) & (F.col("df") <= max(2.0, most * n))).select("term")
     return stage(kept, "imatch-lexicon")
 
@@ -44,40 +54,52 @@ def lexicon(docs: DataFrame, text_col: str = "text", least: float = LEAST_SHARE,
 def fingerprint(texts: DataFrame, keys: list[str], text_col: str, lex: DataFrame) -> DataFrame:
     """``keys, whole, marks`` for rows that are unique by ``keys``.
 
-    ``whole`` hashes all distinct terms; ``marks`` holds the subset hashes, level
-    after level, 0 for a subset without terms. The hash of a subset's terms is
+    ``whole`` hashes all distinct terms; ``marks`` holds the subset hashes of the
+    lexicon terms, level after level, then those of all terms, 0 for a subset without
+    terms. The lexicon's half is 0 throughout for a text with fewer lexicon terms than
+    ``FEW_TERMS`` or than a ``LEAST_KNOWN`` share of its terms. The hash of a subset's terms is
     the exclusive-or of the terms' own hashes, which needs no order, so no list of terms is
-    gathered: each term adds to its subsets in one aggregate. Rows already dealt
+    gathered: each term adds to its subsets in one aggregate, to all terms' hash in
+    the upper half of a long and to the lexicon's in the lower. Rows already dealt
     by (some of) ``keys`` are not shuffled for it.
     """
     found = texts.select(*keys, terms(F.col(text_col)).alias("_t"))
-    found = found.select(*keys, F.xxhash64("_t").alias("whole"), (F.size("_t") < FEW_TERMS).alias("_few"), F.explode_outer("_t").alias("term"))
+    found = found.select(*keys, F.xxhash64("_t").alias("whole"), F.explode_outer("_t").alias("term"))
     marked = lex.withColumn("_in", F.lit(True))
     rows = found.join(F.broadcast(marked) if fits_broadcast(lex, 16, 32 << 20) else marked, "term", "left")
-    taken = F.col("term").isNotNull() & (F.col("_few") | F.col("_in").isNotNull())
-    rows = rows.select(*keys, "whole", F.when(taken, F.xxhash64("term", F.lit(1))).alias("_place"), F.xxhash64("term", F.lit(2)).alias("_hash"))
+    rows = rows.select(*keys, "whole", "term", "_in", F.when(F.col("term").isNotNull(), F.xxhash64("term", F.lit(1))).alias("_place"),
+                       F.xxhash64("term", F.lit(2)).bitwiseAND(F.lit(0x7FFFFFFF)).alias("_half"))
+    rows = rows.select("*", F.shiftleft("_half", 32).bitwiseOR(F.when(F.col("_in"), F.col("_half")).otherwise(F.lit(0).cast("long"))).alias("_hash"))
     # Level l deals the lexicon into 8 * 4^l parts and uses its first 8 as subsets.
     subsets = [F.bit_xor(F.when(F.col("_place").bitwiseAND(F.lit(SUBSETS * 4 ** lv - 1)) == j, F.col("_hash")))
                for lv in range(LEVELS) for j in range(SUBSETS)]
-    got = rows.groupBy(*keys).agg(F.first("whole").alias("whole"), *[x.alias(f"_s{i}") for i, x in enumerate(subsets)])
-    mark = lambda c: F.coalesce(F.col(c).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"), F.lit(0))
-    return got.select(*keys, "whole", F.array(*[mark(f"_s{i}") for i in range(len(subsets))]).alias("marks"))
+    got = rows.groupBy(*keys).agg(F.first("whole").alias("whole"), F.count("_in").alias("_known"), F.count("term").alias("_size"),
+                                  *[x.alias(f"_s{i}") for i, x in enumerate(subsets)])
+    known = (F.col("_known") >= FEW_TERMS) & (F.col("_known") >= LEAST_KNOWN * F.col("_size"))
+    half = lambda c: F.coalesce(c.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"), F.lit(0))
+    ours = [F.col(f"_s{i}") for i in range(len(subsets))]
+    return got.select(*keys, "whole", F.array(*[F.when(known, half(c)).otherwise(0) for c in ours], *[half(F.shiftright(c, 32)) for c in ours]).alias("marks"))
 
 
 def shown(whole: str, marks: str) -> Column:
-    """A fingerprint as text: 16 hex digits of all terms, then 8 for each subset."""
+    """A fingerprint as text: 16 hex digits of all terms, then 8 for each subset of the lexicon terms, then 8 for each of all terms."""
     digits = lambda c, n: F.lower(F.lpad(F.hex(c), n, "0"))
-    return F.concat(digits(F.col(whole), 16), F.lit("-"), F.array_join(F.transform(marks, lambda m: digits(m, 8)), ""))
+    part = lambda k: F.array_join(F.transform(F.slice(marks, k * SUBSETS * LEVELS + 1, SUBSETS * LEVELS), lambda m: digits(m, 8)), "")
+    return F.concat_ws("-", digits(F.col(whole), 16), part(0), part(1))
 
 
 def likeness(whole1: str, marks1: str, whole2: str, marks2: str) -> Column:
     """0 to 1: the best share of equal subset hashes over the levels that inform.
 
+    Subsets of the lexicon terms are compared if both texts have them, else those of all terms.
     A level counts its subsets that hold terms of either text, and informs with
     ``MIN_INFORMED`` of them; without such a level the share is over all
     subsets. Without any terms in subsets, equal term sets are alike (1), others not.
     """
-    pairs = F.zip_with(marks1, marks2, lambda a, b: F.when((a == 0) & (b == 0), F.lit(None).cast("int")).otherwise((a == b).cast("int")))
+    n = SUBSETS * LEVELS
+    both = F.exists(F.slice(marks1, 1, n), lambda m: m != 0) & F.exists(F.slice(marks2, 1, n), lambda m: m != 0)
+    half = lambda marks: F.slice(marks, F.when(both, 1).otherwise(n + 1), n)
+    pairs = F.zip_with(half(marks1), half(marks2), lambda a, b: F.when((a == 0) & (b == 0), F.lit(None).cast("int")).otherwise((a == b).cast("int")))
     def share(part: Column, least: int) -> Column:
         known = F.filter(part, lambda x: x.isNotNull())
         return F.when(F.size(known) >= least, F.aggregate(known, F.lit(0), lambda acc, x: acc + x) / F.size(known))
