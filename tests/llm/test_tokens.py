@@ -21,6 +21,15 @@ def test_ids_equal_the_library(parts, tail):
     assert list(struct.unpack(f"<{len(got) // 4}I", got)) == ENCODER.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_equal_a_fresh_tokenizer():
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(default_tokenizer_path())
+    for text in ("<|endoftext|>", "one <|endoftext|> two", "a<|endoftext|>b", "a <|endoftext| > b", "no such token here"):
+        got = ENCODER.ids(text)
+        assert list(struct.unpack(f"<{len(got) // 4}I", got)) == plain.encode(text, add_special_tokens=False).ids
+    assert 50256 in plain.encode("a<|endoftext|>b", add_special_tokens=False).ids
+
+
 def test_null_and_empty():
     assert ENCODER.ids(None) == ENCODER.ids("") == b""
 

@@ -4,7 +4,8 @@
 but remembers the ids of words it has met. Byte-level BPE never merges across
 pre-tokens, and a space always starts a new pre-token when no two white-space
 characters touch, so such a text can be encoded space-separated unit by unit.
-Texts with touching white space are encoded whole by the library. The memory is
+Texts with touching white space, or with the string of an added token, are encoded
+whole by the library. The memory is
 bounded: a full table takes no new entries (frequent words come first).
 """
 
@@ -85,7 +86,7 @@ class WordEncoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # Unit-wise encoding holds for plain byte-level BPE alone; anything else is encoded whole.
         self.by_unit = isinstance(self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel) \
             and self.tokenizer.normalizer is None and not self.tokenizer.pre_tokenizer.add_prefix_space
@@ -95,7 +96,7 @@ class WordEncoder:
         """Ids as little-endian uint32 bytes; null and empty texts have none."""
         if not text:
             return b""
-        if not self.by_unit or _TOUCHING.search(text):
+        if not self.by_unit or _TOUCHING.search(text) or any(a in text for a in self.added):
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             return struct.pack(f"<{len(ids)}I", *ids)
         first, *rest = text.split(" ")
