@@ -75,6 +75,14 @@ def test_toxicity_finds_words_it_has_not_been_told(spark):
     assert empty.score(["a", None, ""]).score.max() < 0.01
 
 
+def test_toxicity_without_words_in_the_sample(spark):
+    rows = [(i, " \t" if i % 2 else "", "a") for i in range(8)]
+    docs = nasty.docs(spark, rows)
+    model = toxicity.fit(docs.withColumn("toxic", F.when(F.col("doc_id") < 2, 1).otherwise(0)))
+    scores = {r.s for r in nasty.docs(spark, [(1, "", "a"), (2, "some words", "a")]).select(model.result(F.col("text")).alias("f")).select(F.col("f.score").alias("s")).collect()}
+    assert max(abs(s - 0.25) for s in scores) < 1e-6
+
+
 def test_toxicity_scores_do_not_depend_on_batches(spark):
     docs, labels = _labelled(spark, 80)
     model = toxicity.fit(toxicity.training_rows(docs, labels))

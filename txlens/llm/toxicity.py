@@ -229,14 +229,17 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
     ``sample_docs`` whole documents of each class, none longer than
     ``sample_chars``, drawn by a hash of the id; the logistic function on a
     quarter of them that the field has not seen. Without toxic or clean rows
-    the model scores every text at the share of toxic rows (0 without rows).
+    the model scores every text at the share of toxic rows (0 without rows), and
+    so it does when the sample holds no word. A part of the sample without words
+    is replaced by the whole sample.
     """
     labelled = labelled.where(F.col(label_col).isin(0, 1) & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(label_col).cast("long").alias("y"))
     terms, n1, n0 = toxic_terms(labelled, "t", "y")
+    prior = np.log((n1 + 1e-9) / (n0 + 1e-9)) if n1 or n0 else -30.0
+    unfitted = ToxicityModel(np.zeros(BUCKETS), np.zeros((2, 2)), np.zeros(2), np.array([0, 0, 0, float(np.clip(prior, -30, 30))]))
     if not n1 or not n0:
-        prior = np.log((n1 + 1e-9) / (n0 + 1e-9)) if n1 or n0 else -30.0
-        return ToxicityModel(np.zeros(BUCKETS), np.zeros((2, 2)), np.zeros(2), np.array([0, 0, 0, float(np.clip(prior, -30, 30))]))
+        return unfitted
     # A hash threshold first, so that no ordering sees more than about twice the sample.
     place = F.pmod(F.xxhash64("i", F.lit(seed)), F.lit(1_000_000))
     near = labelled.where(F.length("t") <= sample_chars).withColumn("h", place)
@@ -245,11 +248,17 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
         rows += near.where((F.col("y") == y) & (F.col("h") < int(min(1.0, 2 * sample_docs / n) * 1_000_000))).orderBy("h", "i").limit(sample_docs).collect()
     rows = sorted(rows, key=lambda r: (r["h"], str(r["i"])))
     texts, y = [r["t"] for r in rows], np.array([r["y"] for r in rows])
+    worded = _layout(texts)[2] > 0
+    if not worded.any():
+        return unfitted
     check = np.arange(len(texts)) % 4 == 3
+    if not worded[~check].any():
+        check[:] = False
     model = _fit_field([t for t, c in zip(texts, check) if not c], y[~check], terms, rounds)
     memory = _Emissions(model.weights)
-    some = [t for t, c in zip(texts, check) if c] or texts
-    label = y[check] if check.any() else y
+    if not worded[check].any():
+        check[:] = True
+    some, label = [t for t, c in zip(texts, check) if c], y[check]
     words, first, count = _layout(some)
     p = marginals(np.fromiter(map(memory.__getitem__, words), float, len(words)), first, model.trans, model.start)
     model.head = _logistic(summary(p, count), label, np.where(label == 1, n1 / max(1, (label == 1).sum()), n0 / max(1, (label == 0).sum())))
