@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlens.llm import exact_dedup, imatch, jaccard_join, mixing, packing, preference, records, secret_scan, toxicity, warc
+from txlens.llm import exact_dedup, imatch, jaccard_join, licenses, mixing, packing, preference, records, secret_scan, toxicity, warc
 from txlens.llm.common import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +129,43 @@ def op10_token_records(spark, sf):
     folder = shared_path(spark, "records")
     records.write_token_records(table(spark, sf, "documents"), folder)
     return records.read_token_records(spark, folder)
+
+
+def _license_twin() -> str:
+    """Brute force over all blocks, with the templates as text."""
+    quoted = lambda t: "'" + t.replace("'", "''") + "'"
+    rules = ", ".join(f"({k}, {quoted(label)}, {quoted(text)}, {exact})" for k, (label, text, exact) in enumerate(
+        [(label, text, "true") for label, text in licenses.NAMES] + [(label, text, "false") for label, text in licenses.NOTICES]))
+    return rf"""
+WITH low AS (SELECT 'd' AS kind, doc_id AS id, '' AS label, coalesce(text, '') AS text, false AS exact FROM documents
+             UNION ALL SELECT 't', * FROM (VALUES {rules}) v(id, label, text, exact)),
+w AS (SELECT kind, id, label, exact, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS words FROM low),
+rule AS (SELECT id AS k, label, exact, words, list_distinct(words) AS ws, len(list_distinct(words)) AS size, len(words) AS n,
+                CAST(pow(2, ceil(log2(len(words)))) AS BIGINT) AS step,
+                CASE WHEN exact OR len(list_distinct(words)) < {licenses.WHOLE} THEN len(list_distinct(words))
+                     ELSE ceil(len(list_distinct(words)) * {licenses.NOTICE_SHARE} - 1e-9) END AS need FROM w WHERE kind = 't'),
+doc AS (SELECT id AS doc_id, CAST(len(words) AS BIGINT) AS n_words, words FROM w WHERE kind = 'd'),
+tok AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS pos FROM doc),
+rw AS (SELECT k, unnest(ws) AS word FROM rule),
+hit AS (SELECT DISTINCT doc_id, r.k, tok.word, pos // step AS unit FROM tok JOIN rw USING (word) JOIN rule r USING (k) WHERE NOT r.exact),
+block AS (SELECT doc_id, k, word, unit AS b FROM hit UNION SELECT doc_id, k, word, unit - 1 FROM hit WHERE unit > 0),
+found AS (SELECT doc_id, k, b, count(DISTINCT word) AS overlap FROM block GROUP BY ALL),
+more AS (SELECT doc_id, list(DISTINCT label) AS labels, max(overlap / size) AS best FROM found JOIN rule USING (k) WHERE overlap >= need GROUP BY 1),
+place AS (SELECT tok.doc_id, label, pos FROM tok JOIN doc USING (doc_id) JOIN rule ON exact AND tok.word = rule.words[1]
+          WHERE list_slice(doc.words, pos + 1, pos + n) = rule.words),
+base AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list(DISTINCT label) AS labels FROM place GROUP BY 1)
+SELECT doc_id, n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       array_to_string(list_sort(coalesce(base.labels, [])), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(more.labels, [])))), ',') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0) END AS score
+FROM doc LEFT JOIN base USING (doc_id) LEFT JOIN more USING (doc_id)
+"""
+
+
+@register("op13_licenses", _license_twin())
+def op13_licenses(spark, sf):
+    found = licenses.scan(table(spark, sf, "documents").select("doc_id", "text"))
+    joined = lambda c: F.array_join(f"license.{c}", ",").alias(c)
+    return found.select("doc_id", "license.n_words", "license.n_base", "license.first_word", "license.last_word",
+                        joined("base_labels"), joined("labels"), "license.score")
