@@ -140,7 +140,7 @@ def _license_twin() -> str:
 WITH low AS (SELECT 'd' AS kind, doc_id AS id, '' AS label, coalesce(text, '') AS text, false AS exact FROM documents
              UNION ALL SELECT 't', * FROM (VALUES {rules}) v(id, label, text, exact)),
 w AS (SELECT kind, id, label, exact, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                 '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS words FROM low),
+                 '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM low),
 rule AS (SELECT id AS k, label, exact, words, list_distinct(words) AS ws, len(list_distinct(words)) AS size, len(words) AS n,
                 CAST(pow(2, ceil(log2(len(words)))) AS BIGINT) AS step,
                 CASE WHEN exact OR len(list_distinct(words)) < {licenses.WHOLE} THEN len(list_distinct(words))
