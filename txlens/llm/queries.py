@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlens.llm import exact_dedup, imatch, jaccard_join, licenses, mixing, packing, preference, records, secret_scan, toxicity, warc
+from txlens.llm import exact_dedup, imatch, jaccard_join, licenses, mixing, packing, preference, records, secret_scan, toxicity, trie, warc
 from txlens.llm.common import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,6 +131,32 @@ def op10_token_records(spark, sf):
     return records.read_token_records(spark, folder)
 
 
+@register("op12_conversation_trie", """
+WITH RECURSIVE turns AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos
+                         FROM conversations WHERE conv_id IS NOT NULL),
+crc AS (SELECT DISTINCT c, CAST(c AS VARCHAR) AS s, 0 AS i, 4294967295 AS v FROM turns
+        UNION ALL SELECT c, s, i + 1, xor(w >> 1, CASE WHEN w & 1 = 1 THEN 3988292384 ELSE 0 END)
+        FROM (SELECT *, CASE WHEN i % 8 = 0 THEN xor(v, ascii(substr(s, i // 8 + 1, 1))) ELSE v END AS w FROM crc WHERE i < 8 * length(s))),
+conv AS (SELECT c, c - c % 100 AS base, xor(v, 4294967295) % 6 AS h FROM crc WHERE i = 8 * length(s)),
+rebuilt AS (SELECT conv.c, t.pos, t.role, t.text FROM conv JOIN turns t ON t.c = conv.base AND t.pos < conv.h
+            UNION ALL SELECT c, pos, role, text FROM conv JOIN turns USING (c) WHERE pos >= h),
+path AS (SELECT conv.c, coalesce(list(length(role) || ':' || role || text ORDER BY pos) FILTER (pos IS NOT NULL), []) AS p,
+                coalesce(list(CAST(length(text) AS BIGINT) ORDER BY pos) FILTER (pos IS NOT NULL), []) AS n
+         FROM conv LEFT JOIN rebuilt USING (c) GROUP BY 1),
+member AS (SELECT c, list_slice(p, 1, d) AS k, d, len(p) AS l, CASE WHEN d = 0 THEN 0 ELSE n[d] END AS chars FROM path, unnest(range(len(p) + 1)) u(d)),
+node AS (SELECT k, d, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(chars) AS saved, max(l) = d AS leaf,
+                sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (l = d), '')) AS ends_sha256 FROM member GROUP BY 1, 2),
+child AS (SELECT list_slice(k, 1, d - 1) AS k, count(*) AS n FROM node WHERE d > 0 GROUP BY 1),
+tree AS (SELECT list_slice(k, 1, e) AS k, sum(CAST(leaf AS BIGINT)) AS leaves, sum(saved) AS saved FROM node, unnest(range(d + 1)) u(e) GROUP BY 1)
+SELECT x.conv_id, CAST(x.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, x.n_convs, coalesce(child.n, 0) AS n_children,
+       CAST(tree.leaves AS BIGINT) AS n_leaves, CAST(tree.saved AS BIGINT) AS saved_tokens, x.ends_sha256
+FROM node x JOIN tree USING (k) LEFT JOIN child USING (k) LEFT JOIN node up ON x.d > 0 AND up.k = list_slice(x.k, 1, x.d - 1)
+""")
+def op12_conversation_trie(spark, sf):
+    return trie.prefix_trie(trie.with_shared_heads(trie.turns(table(spark, sf, "conversations"))))
+
+
 def _license_twin() -> str:
     """Brute force over all blocks, with the templates as text."""
     quoted = lambda t: "'" + t.replace("'", "''") + "'"
