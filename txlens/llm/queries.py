@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlens.llm import exact_dedup, imatch, jaccard_join, licenses, mixing, packing, preference, records, secret_scan, toxicity, trie, warc
+from txlens.llm import exact_dedup, hard_negatives, imatch, jaccard_join, licenses, mixing, packing, preference, records, secret_scan, toxicity, trie, warc
 from txlens.llm.common import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,6 +131,28 @@ def op10_token_records(spark, sf):
     return records.read_token_records(spark, folder)
 
 
+@register("op11_hard_negatives", """
+WITH v AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.id AS anchor_id, b.id, a.label = b.label AS same,
+                  list_sum(list_transform(list_zip(a.q, b.q), lambda p: coalesce(p[1], 0) * coalesce(p[2], 0))) AS score
+           FROM v a, v b WHERE a.id % 50 = 0 AND a.id <> b.id),
+positive AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+             QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+ranked AS (SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS rank, id AS negative_id,
+                  positive_score, score AS negative_score
+           FROM positive JOIN scored USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, CAST(positive_score AS BIGINT) AS positive_score,
+       CAST(negative_score AS BIGINT) AS negative_score FROM ranked WHERE rank <= 3
+""")
+def op11_hard_negatives(spark, sf):
+    rows = table(spark, sf, "embeddings")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(hard_negatives.quantised(rows))
+
+
 @register("op12_conversation_trie", """
 WITH RECURSIVE turns AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
                                 row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos
