@@ -109,7 +109,8 @@ def find_blocks(docs: DataFrame, text_col: str = "text", rules: DataFrame | None
     rules = templates(spark) if rules is None else rules
     vocabulary = rules.select("word").distinct()
     text = F.coalesce(F.col(text_col), F.lit(""))
-    tokens = docs.select(text.alias("_t")).select(F.unhex(F.sha2("_t", 256)).alias("key"), F.posexplode_outer(words(F.col("_t"))).alias("pos", "word"))
+    # The key is computed before the words are dealt out: once a text, not once a word.
+    tokens = docs.select(F.unhex(F.sha2(text, 256)).alias("key"), words(text).alias("_w")).select("key", F.posexplode_outer("_w").alias("pos", "word"))
     hits = stage(tokens.join(F.broadcast(vocabulary), "word"), "license-words")
 
     # The global order, over the words of the templates (bounded by them).
