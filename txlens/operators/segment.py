@@ -14,15 +14,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from txlens.operators.anomaly import Scaler, prepare_for_anomaly_detection
 from txlens.operators.cache import cut
-from txlens.operators.decompose import compute_pca
+from txlens.operators.decompose import compute_pca, projections
+from txlens.operators.inputs import FittedInputs
 
 
 def _vectors(df: DataFrame, cols: list[str], keys: list[str]) -> DataFrame:
@@ -34,20 +34,18 @@ MAX_CLUSTERS = 1000
 
 def prepare_for_clustering(df: DataFrame, keys: list[str]) -> DataFrame:
     """M4: drop all-null / non-numeric columns, median-fill."""
-    return prepare_for_anomaly_detection(df, keys)
+    return FittedInputs.fit(df, keys).clean(df, keys)
 
 
-def standardised(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str], Scaler]:
-    clean = prepare_for_clustering(df, keys)
-    cols = [c for c in clean.columns if c not in keys]
-    scaler = Scaler.fit(clean, cols)
-    return scaler.transform(clean, keep=keys), cols, scaler
+def standardised(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+    inputs = FittedInputs.fit(df, keys)
+    return inputs.scaled(df, keys), inputs.names
 
 
 def elbow_curve(df: DataFrame, keys: list[str], k_min: int = 2, k_max: int = 10, seed: int = 42) -> DataFrame:
     """M19 + M20: (k, inertia, silhouette) for every k, fitted once per k on the
     cached standardised vectors (the reference refits for every suggestion)."""
-    sc, cols, _ = standardised(df, keys)
+    sc, cols = standardised(df, keys)
     vec = _vectors(sc, cols, keys).persist()
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster", metricName="silhouette",
                              distanceMeasure="squaredEuclidean")
@@ -102,6 +100,58 @@ def davies_bouldin(labelled: DataFrame, cols: list[str], label: str = "cluster")
     return float(worst.max(1).mean())
 
 
+@dataclass
+class SegmentationModel:
+    """Everything that assigns users to segments: fitted inputs, components (if projected) and centres.
+
+    Saved as Parquet tables beside the ``pyspark.ml`` KMeans model; what is loaded assigns
+    any feature table exactly as the training run assigned its own.
+    """
+    inputs: FittedInputs
+    components: np.ndarray | None    # one row per coordinate; None without projection
+    kmeans: KMeansModel
+    explained_variance: float | None
+
+    @property
+    def coords(self) -> list[str]:
+        return self.inputs.names if self.components is None else [f"PC{i + 1}" for i in range(len(self.components))]
+
+    @property
+    def n_clusters(self) -> int:
+        return len(self.kmeans.clusterCenters())
+
+    def coordinates(self, df: DataFrame, keys: list[str]) -> DataFrame:
+        """``keys`` and the coordinates that the clusters are made of."""
+        scaled = self.inputs.scaled(df, keys)
+        return scaled if self.components is None else scaled.select(*keys, *projections(self.components, self.inputs.names))
+
+    def assign(self, df: DataFrame, keys: list[str]) -> DataFrame:
+        """``keys``, coordinates and ``cluster`` (the nearest centre) of every row of a feature table.
+
+        Gaps get the training medians, values without a code -1; missing columns raise
+        ValueError, further columns are ignored.
+        """
+        out = self.kmeans.transform(_vectors(self.coordinates(df, keys), self.coords, keys))
+        return out.select(*keys, *self.coords, "cluster")
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        self.inputs.save(spark, f"{path}/inputs")
+        self.kmeans.write().overwrite().save(f"{path}/kmeans")
+        rows = [] if self.components is None else [(i, c, float(w)) for i, row in enumerate(self.components)
+                                                   for c, w in zip(self.inputs.names, row)]
+        spark.createDataFrame(rows, "component int, name string, weight double").coalesce(1).write.mode("overwrite").parquet(f"{path}/components")
+        spark.createDataFrame([(self.explained_variance,)], "explained_variance double").coalesce(1) \
+            .write.mode("overwrite").parquet(f"{path}/params")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "SegmentationModel":
+        inputs = FittedInputs.load(spark, f"{path}/inputs")
+        found = {(r["component"], r["name"]): r["weight"] for r in spark.read.parquet(f"{path}/components").collect()}
+        k = 1 + max((i for i, _ in found), default=-1)
+        components = np.array([[found[i, c] for c in inputs.names] for i in range(k)]) if k else None
+        return cls(inputs, components, KMeansModel.load(f"{path}/kmeans"), spark.read.parquet(f"{path}/params").first()[0])
+
+
 @dataclass
 class KMeansResult:
     labels: DataFrame          # keys + coordinates + cluster
@@ -111,11 +161,21 @@ class KMeansResult:
     silhouette: float          # squared-Euclidean silhouette (ClusteringEvaluator)
     davies_bouldin: float
     explained_variance: float | None
-    model: object = None       # the fitted pyspark.ml KMeansModel
+    model: SegmentationModel | None = None
 
     def save(self, path: str) -> None:
-        """Persist the fitted KMeans model (pyspark.ml writer)."""
-        self.model.write().overwrite().save(path)
+        """The model (see ``SegmentationModel``), the labels and the quality metrics."""
+        spark = self.labels.sparkSession
+        self.model.save(spark, f"{path}/model")
+        self.labels.write.mode("overwrite").parquet(f"{path}/labels")
+        self.metrics(spark).withColumn("inertia", F.lit(self.inertia)).coalesce(1).write.mode("overwrite").parquet(f"{path}/metrics")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "KMeansResult":
+        model, labels = SegmentationModel.load(spark, f"{path}/model"), spark.read.parquet(f"{path}/labels")
+        m = spark.read.parquet(f"{path}/metrics").first()
+        return cls(labels, model.coords, m["n_clusters"], m["inertia"], m["silhouette_sq_euclidean"], m["davies_bouldin"],
+                   m["pca_explained_variance"], model)
 
     def metrics(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([(self.n_clusters, self.inertia, self.silhouette, self.davies_bouldin,
@@ -129,22 +189,21 @@ def train_kmeans(df: DataFrame, keys: list[str], n_clusters: int, use_pca: bool
     """Standardise -> optional PCA -> KMeans; labels and quality metrics."""
     if use_pca:
         pca = compute_pca(df, keys, n_components=n_components)
-        sc = pca.scores()
-        coords = [f"PC{i + 1}" for i in range(pca.n_components)]
-        sc = sc.select(*keys, *coords)
+        inputs, components = pca.inputs, pca.components[:pca.n_components]
         explained = float(np.sum(pca.ratio[:pca.n_components]))
     else:
-        sc, coords, _ = standardised(df, keys)
-        explained = None
-    vec = _vectors(sc, coords, keys).persist()
+        inputs, components, explained = FittedInputs.fit(df, keys), None, None
+    fitted = SegmentationModel(inputs, components, None, explained)
+    coords = fitted.coords
+    vec = _vectors(fitted.coordinates(df, keys), coords, keys).persist()
     try:
-        model = KMeans(k=n_clusters, seed=seed, featuresCol="features", predictionCol="cluster").fit(vec)
-        labelled = model.transform(vec)
+        fitted.kmeans = KMeans(k=n_clusters, seed=seed, featuresCol="features", predictionCol="cluster").fit(vec)
+        labelled = fitted.kmeans.transform(vec)
         sil = ClusteringEvaluator(featuresCol="features", predictionCol="cluster",
                                   distanceMeasure="squaredEuclidean").evaluate(labelled)
         out = cut(labelled.select(*keys, *coords, "cluster"))
         db = davies_bouldin(out, coords)
-        inertia = float(model.summary.trainingCost)
+        inertia = float(fitted.kmeans.summary.trainingCost)
     finally:
         vec.unpersist()
-    return KMeansResult(out, coords, n_clusters, inertia, float(sil), db, explained, model)
+    return KMeansResult(out, coords, n_clusters, inertia, float(sil), db, explained, fitted)

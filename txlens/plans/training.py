@@ -2,12 +2,14 @@
 
 ``run_training`` = load -> user and transaction features -> KMeans(4) on the
 users -> isolation forest (contamination .02) on the transactions -> TreeSHAP
-on a seeded sample -> Parquet / CSV outputs -> report table. The preprocessed
-transactions are computed once and reused by both feature builders.
+on a seeded sample -> Parquet / CSV outputs -> report table. Every step is a
+stage of a ``StageStore``: its result is written once, read by the steps after it, and
+found again by a rerun. The models are used as reloaded from their saved form.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,10 +19,11 @@ from txlens.functions.clean import preprocess_transactions
 from txlens.operators import explain as X
 from txlens.operators import iforest as IF
 from txlens.operators.anomaly import analyze_anomalies, prepare_for_anomaly_detection
-from txlens.operators.cache import cut
 from txlens.operators.segment import KMeansResult, train_kmeans
 from txlens.operators.tx_features import build_transaction_features
 from txlens.operators.user_features import build_user_features
+from txlens.plans.stages import StageStore, table_fingerprint
+from txlens.session import checkpoint_dir
 
 
 def write_parquet(df: DataFrame, path: str) -> str:
@@ -45,6 +48,7 @@ class TrainingOutputs:
     scores: DataFrame
     attributions: DataFrame
     report: DataFrame
+    stages: StageStore
 
 
 def forest_inputs(tx_features: DataFrame, key: str = "transaction_id") -> tuple[DataFrame, list[str]]:
@@ -56,26 +60,32 @@ def forest_inputs(tx_features: DataFrame, key: str = "transaction_id") -> tuple[
 def run_training(spark: SparkSession, raw: DataFrame, out_dir: str | None = None, as_of: str | None = None,
                  n_clusters: int = 4, contamination: float = 0.02, n_trees: int = 100,
                  shap_sample: int = 200, seed: int = 42) -> TrainingOutputs:
-    pre = cut(preprocess_transactions(raw))
-    uf = cut(build_user_features(pre, as_of=as_of, preprocessed=True))
-    tf = cut(build_transaction_features(pre, preprocessed=True))
-    km = train_kmeans(uf, ["user_id"], n_clusters)
-    x, feats = forest_inputs(tf)
-    x = cut(x)
-    forest = IF.fit_isolation_forest(x, feats, "transaction_id", n_trees=n_trees,
-                                     contamination=contamination, seed=seed)
-    scores = cut(IF.flag(IF.score_samples(forest, x, ["transaction_id"]), contamination))
-    attr = X.shap_values(forest, X.sample_rows(x, "transaction_id", shap_sample, seed), "transaction_id")
-    report = training_report(spark, raw, uf, tf, km, scores, contamination)
-    if out_dir:
-        write_parquet(uf, f"{out_dir}/user_features")
-        write_parquet(tf, f"{out_dir}/transaction_features")
-        forest.save(spark, f"{out_dir}/isolation_forest")
-        write_parquet(attr, f"{out_dir}/shap_values")
+    """All stages of the run below ``out_dir`` (default: a new scratch folder of the cluster).
+
+    A rerun with the same input, folder and parameters starts at the first stage that is not complete.
+    """
+    out_dir = out_dir or f"{checkpoint_dir(spark).rstrip('/')}/txlens-training-{uuid.uuid4().hex}"
+    st = StageStore(spark, out_dir, table_fingerprint(raw))
+    pre = st.table("preprocessed", lambda: preprocess_transactions(raw))
+    uf = st.table("user_features", lambda: build_user_features(pre, as_of=as_of, preprocessed=True), ("preprocessed",), as_of=as_of)
+    tf = st.table("transaction_features", lambda: build_transaction_features(pre, preprocessed=True), ("preprocessed",))
+    km = st.run("segmentation", lambda path: train_kmeans(uf, ["user_id"], n_clusters, seed=seed).save(path),
+                lambda path: KMeansResult.load(spark, path), ("user_features",), n_clusters=n_clusters, seed=seed)
+    x = st.table("forest_inputs", lambda: forest_inputs(tf)[0], ("transaction_features",))
+    feats = [c for c in x.columns if c != "transaction_id"]
+    forest = st.run("isolation_forest", lambda path: IF.fit_isolation_forest(
+        x, feats, "transaction_id", n_trees=n_trees, contamination=contamination, seed=seed).save(spark, path),
+        lambda path: IF.IsolationForestModel.load(spark, path), ("forest_inputs",), n_trees=n_trees, contamination=contamination, seed=seed)
+    scores = st.table("scores", lambda: IF.flag(IF.score_samples(forest, x, ["transaction_id"]), contamination), ("isolation_forest",))
+    attr = st.table("shap_values", lambda: X.shap_values(forest, X.sample_rows(x, "transaction_id", shap_sample, seed), "transaction_id"),
+                    ("isolation_forest",), rows=shap_sample, seed=seed)
+
+    def export(path: str) -> None:
         flagged = analyze_anomalies(raw, scores.select("transaction_id", "anomaly_score"))
-        write_csv(flagged.where("is_above_threshold"), f"{out_dir}/anomalies_csv")
-        write_parquet(report, f"{out_dir}/report")
-    return TrainingOutputs(uf, tf, km, forest, scores, attr, report)
+        write_csv(flagged.where("is_above_threshold"), path)
+    st.run("anomalies_csv", export, lambda path: path, ("scores",))
+    report = st.table("report", lambda: training_report(spark, raw, uf, tf, km, scores, contamination), ("segmentation", "scores"))
+    return TrainingOutputs(uf, tf, km, forest, scores, attr, report, st)
 
 
 def training_report(spark: SparkSession, raw: DataFrame, uf: DataFrame, tf: DataFrame, km: KMeansResult,
