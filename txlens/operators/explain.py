@@ -1,10 +1,15 @@
 """Feature attributions for the isolation forest and their consumers.
 
-Path-dependent TreeSHAP (Lundberg, Erion and Lee, 2018, Algorithm 2),
-vectorised over the rows of an Arrow batch: instead of following the "hot"
-branch per row, both children are visited with the one-fraction equal to the
-row's indicator of taking that branch, so every step is a numpy operation on
-whole columns. The explained output is the *negated* mean path length, so a
+Path-dependent Shapley values of a forest, leaf by leaf. A leaf's path tests m distinct
+features; feature j is passed by the row or not (o_j = 1 or 0, one interval test) and by a share z_j
+of the training rows. The leaf's part of feature f's value is
+
+    value * (o_f - z_f) * integral over t in (0, 1) of  prod_{j != f} (z_j (1 - t) + o_j t)
+
+since the weights k! (m - k - 1)! / m! of the subsets are the integrals of t^k (1 - t)^(m - 1 - k).
+The integrand is a polynomial of degree m - 1, so Gauss-Legendre nodes, half as many as features,
+integrate it exactly. All leaves of all trees lie in one table of paths; a batch of rows
+is a few numpy operations on it, without recursion. The explained output is the *negated* mean path length, so a
 positive value pushes a row towards "anomalous" and the direction labels are
 true. Rows are chosen with a seeded hash (B21) or taken whole (e.g. all
 flagged rows); the long output (key, feature, value, shap, |shap|) is keyed,
@@ -24,118 +29,68 @@ from txlens.operators.iforest import IsolationForestModel, average_path_length
 from txlens.session import ship_package
 
 
-class _Path:
-    """Unique-path state: feature ids, zero fractions (scalars), one fractions and
-    permutation weights (arrays over rows). Arrays are never modified in place
-    (every update builds a new array), so copies only copy the lists."""
-
-    __slots__ = ("d", "z", "o", "w")
-
-    def __init__(self):
-        self.d, self.z, self.o, self.w = [], [], [], []
-
-    def copy(self, depth: int) -> "_Path":
-        p = _Path.__new__(_Path)
-        p.d, p.z, p.o, p.w = self.d[:depth], self.z[:depth], self.o[:depth], self.w[:depth]
-        return p
-
-
-def _extend(p: _Path, ud: int, z: float, o: np.ndarray, d: int) -> None:
-    del p.d[ud:], p.z[ud:], p.o[ud:], p.w[ud:]
-    p.d.append(d)
-    p.z.append(z)
-    p.o.append(o)
-    p.w.append(np.ones_like(o) if ud == 0 else np.zeros_like(o))
-    for i in range(ud - 1, -1, -1):
-        p.w[i + 1] = p.w[i + 1] + o * p.w[i] * (i + 1.0) / (ud + 1.0)
-        p.w[i] = z * p.w[i] * (ud - i) / (ud + 1.0)
-
-
-def _unwind(p: _Path, ud: int, k: int) -> None:
-    o, z = p.o[k], p.z[k]
-    nz = o != 0
-    safe_o = np.where(nz, o, 1.0)
-    nop = p.w[ud].copy()
-    for i in range(ud - 1, -1, -1):
-        tmp = p.w[i]
-        new_w_nz = nop * (ud + 1.0) / ((i + 1.0) * safe_o)
-        new_w_z = (tmp * (ud + 1.0)) / (z * (ud - i)) if z != 0 else np.zeros_like(tmp)
-        new_w = np.where(nz, new_w_nz, new_w_z)
-        nop = np.where(nz, tmp - new_w * z * (ud - i) / (ud + 1.0), nop)
-        p.w[i] = new_w
-    for i in range(k, ud):
-        p.d[i], p.z[i], p.o[i] = p.d[i + 1], p.z[i + 1], p.o[i + 1]
-
-
-def _unwound_sum(p: _Path, ud: int, k: int) -> np.ndarray:
-    o, z = p.o[k], p.z[k]
-    nz = o != 0
-    safe_o = np.where(nz, o, 1.0)
-    nop = p.w[ud].copy()
-    total = np.zeros_like(nop)
-    for i in range(ud - 1, -1, -1):
-        tmp = nop * (ud + 1.0) / ((i + 1.0) * safe_o)
-        zero_term = (p.w[i] / z) / ((ud - i) / (ud + 1.0)) if z != 0 else np.zeros_like(tmp)
-        total = total + np.where(nz, tmp, zero_term)
-        nop = np.where(nz, p.w[i] - tmp * z * ((ud - i) / (ud + 1.0)), nop)
-    return total
-
-
-def tree_shap(x: np.ndarray, a: dict, tree: int, value: np.ndarray) -> np.ndarray:
-    """SHAP values (rows, features) of one tree whose leaf outputs are ``value``."""
+_ROWS, _LEAVES = 32, 1024  # rows and leaves worked on at once
+
+
+def leaf_paths(a: dict) -> dict:
+    """The paths to all leaves of a forest's node arrays, one row per leaf, its distinct tested features side by side.
+
+    ``feature``, ``low``, ``high`` (passed if low < x <= high) and ``share`` (of the training rows that pass) are
+    leaves x features; unused places are passed by all. ``value`` is the negated path length over the number of
+    trees, ``base`` its mean over the training rows. At most T (psi + 1) rows.
+    """
+    trees = a["left"].shape[0]
+    found: list[tuple[dict, float, float]] = []
+    for k in range(trees):
+        stack = [(0, {}, 1.0)]
+        while stack:
+            node, path, reach = stack.pop()
+            if a["leaf"][k, node]:
+                found.append((path, -(a["depth"][k, node] + float(average_path_length(a["size"][k, node]))) / trees, reach))
+                continue
+            f, threshold = int(a["feature"][k, node]), float(a["threshold"][k, node])
+            low, high, share = path.get(f, (-np.inf, np.inf, 1.0))
+            for child, bounds in ((int(a["left"][k, node]), (low, min(high, threshold))), (int(a["right"][k, node]), (max(low, threshold), high))):
+                part = float(a["size"][k, child] / a["size"][k, node])
+                stack.append((child, {**path, f: (*bounds, share * part)}, reach * part))
+    width = max(1, max(len(p) for p, _, _ in found))
+    out = {"feature": np.zeros((len(found), width), np.int64), "low": np.full((len(found), width), -np.inf),
+           "high": np.full((len(found), width), np.inf), "share": np.ones((len(found), width)), "value": np.array([v for _, v, _ in found])}
+    for i, (path, _, _) in enumerate(found):
+        for j, (f, (low, high, share)) in enumerate(path.items()):
+            out["feature"][i, j], out["low"][i, j], out["high"][i, j], out["share"][i, j] = f, low, high, share
+    out["base"] = float(sum(v * reach for _, v, reach in found))
+    return out
+
+
+def path_shap(x: np.ndarray, paths: dict) -> np.ndarray:
+    """Shapley values (rows, features) of the negated mean path length."""
     n, p = x.shape
+    leaves, width = paths["feature"].shape
+    nodes, weights = np.polynomial.legendre.leggauss((width + 1) // 2)
+    nodes, weights = (nodes + 1) / 2, weights / 2
     phi = np.zeros((n, p))
-    left, right, feat, thr, size = (a["left"][tree], a["right"][tree], a["feature"][tree],
-                                    a["threshold"][tree], a["size"][tree])
-    leaf = a["leaf"][tree]
-
-    def recurse(node: int, ud: int, path: _Path, pz: float, po: np.ndarray, pd_: int) -> None:
-        path = path.copy(ud)
-        _extend(path, ud, pz, po, pd_)
-        if leaf[node]:
-            for i in range(1, ud + 1):
-                w = _unwound_sum(path, ud, i)
-                phi[:, path.d[i]] += w * (path.o[i] - path.z[i]) * value[node]
-            return
-        f = int(feat[node])
-        goes_left = (x[:, f] <= thr[node]).astype(float)
-        iz, io = 1.0, np.ones(n)
-        k = next((j for j in range(ud + 1) if path.d[j] == f), None)
-        if k is not None:
-            iz, io = path.z[k], path.o[k]
-            _unwind(path, ud, k)
-            ud -= 1
-        for child, ind in ((int(left[node]), goes_left), (int(right[node]), 1.0 - goes_left)):
-            recurse(child, ud + 1, path, size[child] / size[node] * iz, io * ind, f)
-
-    recurse(0, 0, _Path(), 1.0, np.ones(n), -1)
+    for at in range(0, leaves, _LEAVES):
+        part = slice(at, at + _LEAVES)
+        feature, share, value = paths["feature"][part], paths["share"][part], paths["value"][part]
+        to_feature = np.zeros((feature.size, p))
+        to_feature[np.arange(feature.size), feature.ravel()] = 1.0
+        for row in range(0, n, _ROWS):
+            v = x[row:row + _ROWS][:, feature]
+            passed = ((v > paths["low"][part]) & (v <= paths["high"][part])).astype(float)
+            integral = np.zeros_like(passed)
+            for t, w in zip(nodes, weights):
+                factor = share * (1 - t) + passed * t  # never 0: every share is positive
+                integral += w * factor.prod(2, keepdims=True) / factor
+            parts = (passed - share) * integral * value[:, None]
+            phi[row:row + _ROWS] += parts.reshape(len(v), -1) @ to_feature
     return phi
 
 
 def forest_shap(x: np.ndarray, model_arrays: dict) -> tuple[np.ndarray, float]:
     """Attributions of the negated mean path length over all trees, and the base value."""
-    t = model_arrays["left"].shape[0]
-    phi = np.zeros_like(x, dtype=float)
-    base = 0.0
-    for k in range(t):
-        value = -(model_arrays["depth"][k] + average_path_length(model_arrays["size"][k]))
-        phi += tree_shap(x, model_arrays, k, value)
-        sizes = model_arrays["size"][k]
-        # expected output: leaves weighted by their share of the root's sample
-        reach = _reached_leaves(model_arrays, k)
-        base += float(np.sum(value[reach] * sizes[reach] / sizes[0]))
-    return phi / t, base / t
-
-
-def _reached_leaves(a: dict, k: int) -> np.ndarray:
-    seen, stack = [], [0]
-    while stack:
-        nd = stack.pop()
-        if a["leaf"][k, nd]:
-            seen.append(nd)
-        else:
-            stack += [int(a["left"][k, nd]), int(a["right"][k, nd])]
-    return np.array(seen, dtype=int)
+    paths = leaf_paths(model_arrays)
+    return path_shap(x, paths), paths["base"]
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
@@ -150,17 +105,17 @@ def shap_values(model: IsolationForestModel, rows: DataFrame, key: str) -> DataF
     """
     spark = rows.sparkSession
     ship_package(spark)
-    bc = spark.sparkContext.broadcast(model.arrays())  # bounded node arrays
+    bc = spark.sparkContext.broadcast(leaf_paths(model.arrays()))  # bounded by the leaves
     feats = model.features
     kt = rows.schema[key].dataType.simpleString()
 
     def explain(batches):
-        a = bc.value
+        paths = bc.value
         for pdf in batches:
             if pdf.empty:
                 continue
             x = pdf[feats].to_numpy(dtype=float)
-            phi, base = forest_shap(x, a)
+            phi, base = path_shap(x, paths), paths["base"]
             n, p = phi.shape
             yield pd.DataFrame({
                 key: np.repeat(pdf[key].to_numpy(), p),
@@ -174,8 +129,6 @@ def shap_values(model: IsolationForestModel, rows: DataFrame, key: str) -> DataF
     # A sample arrives in one partition and flagged rows lie unevenly: deal them out.
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     sel = rows.select(key, *[F.col(c).cast("double").alias(c) for c in feats]).repartition(tasks, key)
-    # the per-batch cost is dominated by the number of numpy operations (trees x
-    # leaves x depth^2), not by rows: batches are kept large.
     return sel.mapInPandas(explain, f"{key} {kt}, feature string, feature_value double, shap_value double, "
                                     "abs_shap double, base_value double")
 

@@ -1,11 +1,14 @@
 """Isolation forest on Spark (M24-M26) after Liu, Ting and Zhou (2008).
 
-* Fit: every tree sees psi = min(256, n) rows. When n >= T * psi the T * psi
-  rows with the smallest seeded hash are taken (a bounded top-k, no full sort)
-  and dealt to the trees; otherwise each tree keeps its psi smallest hashes of
-  the (then small) table. ``groupBy('tree').applyInPandas`` grows one tree per
+* Fit: a row is in the draw of each of the T trees with probability p, independently,
+  p being psi / n with a margin of six standard deviations (psi = min(256, n)). One
+  hash per row decides whether any tree draws it (probability 1 - (1 - p)^T) and, by its
+  size, how many do (the binomial count given at least one); which trees these are is
+  drawn for the few rows that are left. Each tree keeps psi of its rows, those with the smallest
+  second hash. ``groupBy('tree').applyInPandas`` grows one tree per
   group, seeded by (seed, tree), rows ordered by key: the forest does not
-  depend on partitioning. Only T * psi rows ever reach Python.
+  depend on partitioning, and one rule holds at every table size. Only about
+  T * psi rows ever reach Python.
 * Model: a node table (tree, node, left, right, feature, threshold, size,
   depth, leaf) of at most T * (2 psi - 1) rows - the proven bound that makes
   it safe to broadcast. Saved / loaded as Parquet.
@@ -119,6 +122,34 @@ class IsolationForestModel:
         return cls(p["features"].split(","), nodes, p["n_trees"], p["psi"], p["contamination"])
 
 
+def drawn_counts(n_trees: int, share: float) -> tuple[float, list[float]]:
+    """Probability that any tree draws a row, and the distribution function of the number that do, given one does."""
+    if share >= 1:
+        return 1.0, [0.0] * (n_trees - 1) + [1.0]
+    some = -math.expm1(n_trees * math.log1p(-share))
+    upto, total = [], 0.0
+    for k in range(1, n_trees + 1):
+        log_p = math.lgamma(n_trees + 1) - math.lgamma(k + 1) - math.lgamma(n_trees - k + 1) + k * math.log(share) + (n_trees - k) * math.log1p(-share)
+        total += math.exp(log_p) / some
+        upto.append(total)
+    return some, upto
+
+
+def draw_trees(df: DataFrame, key: str, n_trees: int, share: float, seed: int) -> DataFrame:
+    """The rows of ``df`` that trees draw, once per such tree (column ``tree``): each tree draws a row with probability ``share``.
+
+    One hash per row; only rows that some tree draws are looked at further.
+    """
+    some, upto = drawn_counts(n_trees, share)
+    key_text = F.col(key).cast("string")
+    u = F.xxhash64(key_text, F.lit(seed)).bitwiseAND(F.lit((1 << 53) - 1)) / F.lit(float(1 << 53))
+    kept = df.where(u < F.lit(some)) if some < 1 else df
+    count = F.size(F.filter(F.array(*[F.lit(c) for c in upto if c < 1.0] or [F.lit(2.0)]), lambda c: c <= u / F.lit(some))) + 1
+    order = F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)),
+                                     lambda t: F.struct(F.xxhash64(key_text, t, F.lit(seed)).alias("h"), t.alias("t"))))
+    return kept.withColumn("tree", F.explode_outer(F.transform(F.slice(order, 1, count), lambda x: x["t"])))
+
+
 def fit_isolation_forest(df: DataFrame, features: list[str], key: str, n_trees: int = 100,
                          max_samples: int = 256, contamination: float = 0.02, seed: int = 42,
                          min_rows: int = 10) -> IsolationForestModel:
@@ -129,7 +160,6 @@ def fit_isolation_forest(df: DataFrame, features: list[str], key: str, n_trees:
     psi = int(min(max_samples, n))
     cols = [F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(features)]
     key_text = F.col(key).cast("string")
-    span = 1 << 40
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
     p = len(features)
 
@@ -144,23 +174,16 @@ def fit_isolation_forest(df: DataFrame, features: list[str], key: str, n_trees:
         return out
 
     ship_package(df.sparkSession)
-    # Each tree draws its own rows: those whose hash with the tree's number lies in a
-    # share of the hash range that holds psi rows with a margin of six standard
-    # deviations (all rows of a small table). The psi smallest stay.
-    share = (psi + 6 * math.sqrt(psi)) / n
+    share = min(1.0, (psi + 6 * math.sqrt(psi)) / n)
     while True:
-        below = F.lit(int(min(share, 1.0) * span))
-        trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
-                         lambda t: F.pmod(F.xxhash64(key_text, t, F.lit(seed)), F.lit(span)) < below)
-        drawn = df.select(key_text.alias("_key"), *cols, F.explode(trees).alias("tree"))
-        order = F.pmod(F.xxhash64("_key", "tree", F.lit(seed)), F.lit(span))
-        w = Window.partitionBy("tree").orderBy(order, "_key")
+        drawn = draw_trees(df, key, n_trees, share, seed).select(key_text.alias("_key"), *cols, "tree")
+        w = Window.partitionBy("tree").orderBy(F.xxhash64("_key", "tree", F.lit(seed + 1)), "_key")
         sample = drawn.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= psi).drop("_r")
         nodes = sample.groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas()  # <= T (2 psi - 1) rows
         roots = nodes[nodes["node"] == 0]["size"]
         if share >= 1 or (len(roots) == n_trees and (roots >= psi).all()):
             break
-        share *= 2  # a tree came up short
+        share = min(1.0, 2 * share)  # a tree came up short
     nodes = nodes.sort_values(["tree", "node"]).reset_index(drop=True)
     return IsolationForestModel(list(features), nodes, n_trees, psi, contamination)
 
