@@ -8,7 +8,7 @@ DataFrames cross-joined by broadcast: a proven single row, never a driver loop.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txlens.functions.clean import drop_all_null_columns, fill_median
@@ -109,6 +109,13 @@ def prepare_for_anomaly_detection(df: DataFrame, keys: list[str] | None = None)
     return fill_median(num, gaps) if gaps else num
 
 
+def prepare_numeric_data(df: DataFrame, drop_non_numeric: bool = True, fill_na: bool = True) -> DataFrame:
+    """Numeric columns alone (or all, unchanged, without ``drop_non_numeric``), gaps of the numeric ones filled
+    with their exact medians (or left). A column without any value stays null."""
+    out = df.select(*numeric_columns(df)) if drop_non_numeric else df
+    return fill_median(out, check_missing=True) if fill_na else out
+
+
 def centre_distance(scaled_cols: list[str]) -> Column:
     """Euclidean norm of the scaled row (distance to the centre)."""
     return F.sqrt(sum((F.col(c) * F.col(c) for c in scaled_cols), F.lit(0.0)))
@@ -228,27 +235,45 @@ def suggest_contamination(distances: DataFrame, col: str = "anomaly_score",
                          R(F.least(F.greatest(mean, F.lit(0.001)), F.lit(0.1)), 6).alias("suggested_contamination"))
 
 
-def anomaly_report(scores: DataFrame, analyzed: DataFrame, contamination: float,
-                   col: str = "anomaly_score", flag: str = "is_anomaly", top: int = 5) -> DataFrame:
-    """Report table (section, metric, value): summary, quantiles, separation, top rows."""
-    st = anomaly_statistics(scores, col, flag)
-    normal_mean = scores.where(~F.col(flag)).agg(F.avg(col).alias("_nm"))
-    summ = st.crossJoin(normal_mean)
-    metrics = ["n_total", "n_anomalies", "pct_anomalies", "score_mean", "score_std", "score_min", "score_max",
-               "score_median", "score_q25", "score_q75", "score_q95", "score_q99"]
-    sep = R((F.col("score_mean") - F.col("_nm")) / F.col("score_mean"), 4)
-    rows = summ.select(F.explode(F.array(
-        *[F.struct(F.lit("summary").alias("section"), F.lit(m).alias("metric"),
-                   F.col(m).cast("string").alias("value")) for m in metrics],
-        F.struct(F.lit("quality").alias("section"), F.lit("score_separation").alias("metric"),
-                 sep.cast("string").alias("value")),
-        F.struct(F.lit("quality").alias("section"), F.lit("contamination").alias("metric"),
-                 F.lit(str(contamination)).alias("value")),
-    )).alias("r")).select("r.*")
-    top_rows = (analyzed.where("is_above_threshold").orderBy(F.desc(col), F.asc("transaction_id")).limit(top)
-                .select(F.lit("top").alias("section"), F.col("transaction_id").alias("metric"),
-                        F.format_string("%.3f", F.col(col)).alias("value")))
-    return rows.unionByName(top_rows)
+def anomaly_report(analyzed: DataFrame, contamination: float, n_features: int, col: str = "anomaly_score",
+                   key: str = "transaction_id", date_col: str = "transaction_date", top: int = 5) -> DataFrame:
+    """Report table (section, item, metric, value) of scored source rows (``analyze_anomalies``).
+
+    ``data``: rows, features, first and last day; ``result``: rows flagged at ``contamination`` and their share, mean and
+    largest score, the threshold and the rows at or above it; ``distribution``: quartiles and the 95 and
+    99 percentiles; ``top``: score, amount, category and user of the ``top`` highest rows above the threshold
+    (item: their rank); ``quality``: the mean score's distance to the mean of the rows not flagged, relative to the mean
+    score. Values are texts, numbers with up to 4 digits. The rows are written once and read by every part.
+    """
+    details = [c for c in ("product_amount", "product_category", "user_id") if c in analyzed.columns]
+    days = [date_col] if date_col in analyzed.columns else []
+    rows = cut(analyzed.select(key, col, "threshold", "is_above_threshold", *details, *days))
+    c = min(contamination, 0.5)
+    limits = quantiles_df(rows, col, [1.0 - c, 0.25, 0.5, 0.75, 0.95, 0.99], names=["_limit", "q25", "median", "q75", "q95", "q99"])
+    flag = F.col(col) > F.col("_limit")
+    number = lambda x: F.rtrim(F.rtrim(F.format_string("%.4f", R(x, 4).cast("double")), F.lit("0")), F.lit("."))
+    day = lambda x: F.coalesce(F.date_format(x, "yyyy-MM-dd"), F.lit("not given")) if days else F.lit("not given")
+    one = rows.crossJoin(F.broadcast(limits)).agg(  # limits: one row
+        F.count(F.lit(1)).alias("n"), F.count_if(flag).alias("flagged"), F.avg(col).alias("mean"), F.max(col).alias("largest"),
+        F.max("threshold").alias("threshold"), F.count_if("is_above_threshold").alias("above"), F.avg(F.when(~flag, F.col(col))).alias("normal"),
+        *[F.max(x).alias(x) for x in ("q25", "median", "q75", "q95", "q99")],
+        (F.min(date_col) if days else F.lit(None).cast("date")).alias("first"), (F.max(date_col) if days else F.lit(None).cast("date")).alias("last"))
+    said = [("data", "transactions", F.col("n").cast("string")), ("data", "features", F.lit(str(n_features))), ("data", "first_day", day("first")),
+            ("data", "last_day", day("last")), ("result", "contamination", number(F.lit(float(contamination)))), ("result", "anomalies", F.col("flagged").cast("string")),
+            ("result", "anomaly_pct", number(F.col("flagged") * 100.0 / F.col("n"))), ("result", "mean_score", number(F.col("mean"))),
+            ("result", "largest_score", number(F.col("largest"))), ("result", "threshold", number(F.col("threshold"))),
+            ("result", "rows_above_threshold", F.col("above").cast("string")),
+            *[("distribution", x, number(F.col(x))) for x in ("q25", "median", "q75", "q95", "q99")],
+            ("quality", "score_separation", number((F.col("mean") - F.col("normal")) / F.col("mean")))]
+    summary = one.where("n > 0").select(F.inline(F.array(*[F.struct(F.lit(a).alias("section"), F.lit(None).cast("int").alias("item"), F.lit(b).alias("metric"),
+                                                                   v.alias("value")) for a, b, v in said])))
+    best = rows.where("is_above_threshold").orderBy(F.desc(col), F.asc(key)).limit(top)
+    best = best.withColumn("item", F.row_number().over(Window.orderBy(F.desc(col), F.asc(key))))  # top rows at most
+    show = {key: F.col(key).cast("string"), "score": number(F.col(col)), "product_amount": None, "product_category": None, "user_id": None}
+    show |= {x: (number(F.col(x)) if x == "product_amount" else F.coalesce(F.col(x).cast("string"), F.lit("unknown"))) for x in details}
+    top_rows = best.select(F.inline(F.array(*[F.struct(F.lit("top").alias("section"), F.col("item").alias("item"), F.lit(name).alias("metric"), v.alias("value"))
+                                              for name, v in show.items() if v is not None])))
+    return summary.unionByName(top_rows)
 
 
 def qq_points(scored: DataFrame, col: str = "anomaly_score", flag: str = "is_anomaly") -> DataFrame:

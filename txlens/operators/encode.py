@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txlens.functions.clean import OTHER
+from txlens.operators.cache import cut
 from txlens.operators.joins import keyed_join, measured
+from txlens.operators.profile import distinct_counts
 from txlens.operators.quantiles import running_ranks
 
 # Spark's own bound on pivot / one-hot width (spark.sql.pivotMaxValues default).
@@ -96,6 +100,41 @@ def one_hot_long(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
              .where(F.col("value").isNotNull())
 
 
+def value_dictionary(df: DataFrame, cols: list[str], drop_first: bool = True) -> DataFrame:
+    """``column, value, n, index`` - the place of every value in one vector over several columns.
+
+    Columns follow in the order given, values in ascending order; ``drop_first`` leaves out each
+    column's smallest value (as for dummy variables). A table, so the number of values has no bound.
+    """
+    place = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(c), F.lit(i))])
+    counts = one_hot_long(df, [], cols).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    counts = cut(counts.withColumn("place", place[F.col("column")]))
+    if drop_first:
+        least = counts.groupBy("place").agg(F.min("value").alias("_least"))  # one row per column
+        counts = counts.join(F.broadcast(least), "place").where(F.col("value") > F.col("_least")).drop("_least")
+    return running_ranks(counts, ["place", "value"]).select("column", "value", "n", F.col("_from").cast("int").alias("index"))
+
+
+def sparse_one_hot(df: DataFrame, keys: list[str], cols: list[str], dictionary: DataFrame) -> DataFrame:
+    """G21 without a bound on the values: ``keys`` and ``features``, a sparse ``pyspark.ml`` vector with a 1 per known value.
+
+    ``dictionary`` (see ``value_dictionary``; staged or saved) may stem from other rows: nulls and values it does
+    not hold leave no entry. A row's vector has at most one entry per column, however long the vector is.
+    """
+    codes, n = measured(dictionary)
+    size = (codes.agg(F.max("index")).first()[0] or 0) + 1 if n else 0
+    out = df.select(*keys, *[F.col(c).cast("string").alias(f"_v{i}") for i, c in enumerate(cols)])
+    for i, c in enumerate(cols):
+        table = codes.where(F.col("column") == c)
+        out = keyed_join(out, table.select(F.col("value").alias(f"_v{i}"), F.col("index").alias(f"_i{i}")), [f"_v{i}"], "left",
+                         weights=table.select(F.col("value").alias(f"_v{i}"), "n"), small_rows=n)
+    # The vector's own fields; reading them with its type makes the vector without Python.
+    found = F.array_compact(F.array(*[f"_i{i}" for i in range(len(cols))]))
+    fields = F.struct(F.struct(F.lit(0).alias("type"), F.lit(size).alias("size"), found.alias("indices"), F.transform(found, lambda _: F.lit(1.0)).alias("values")).alias("v"))
+    schema = T.StructType([T.StructField("v", VectorUDT())])
+    return out.select(*keys, F.from_json(F.to_json(fields), schema)["v"].alias("features"))
+
+
 def value_lists(df: DataFrame, cols: list[str], limit: int = MAX_DISTINCT_VALUES) -> dict[str, list]:
     """Sorted non-null values of several columns from one pass (plan-time lists of the wide form).
 
@@ -111,17 +150,19 @@ def value_lists(df: DataFrame, cols: list[str], limit: int = MAX_DISTINCT_VALUES
 def encode_categorical_columns(df: DataFrame, max_categories: int = 10,
                                order_col: str = "transaction_id") -> DataFrame:
     """One-hot (drop first) when a string column has <= ``max_categories``
-    distinct values, ordinal codes otherwise. One aggregate counts them all."""
-    from pyspark.sql import types as T
+    distinct values, ordinal codes otherwise. One aggregate counts them all, one ranking codes them."""
     cats = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name != order_col]
     if not cats:
         return df
-    counts = df.agg(*[F.count_distinct(c).alias(c) for c in cats]).collect()[0]
+    counts = {r["column"]: r["n_distinct"] for r in distinct_counts(df, cats).collect()}  # one row per column
+    few = [c for c in cats if counts.get(c, 0) <= max_categories]
+    many = [c for c in cats if c not in few]
     out = df
-    for c in cats:
-        if counts[c] <= max_categories:
-            out = one_hot(out, c, drop_first=True).drop(c)
-        else:
-            out = ordinal_codes(out, [c], order_col=order_col, suffix="_code_tmp", base=df)
-            out = out.withColumn(c, F.col(f"{c}_code_tmp").cast("bigint")).drop(f"{c}_code_tmp")
+    if few:
+        values = value_lists(df, few)
+        for c in few:
+            out = one_hot(out, c, drop_first=True, values=values[c]).drop(c)
+    if many:
+        out = ordinal_codes(out, many, order_col=order_col, suffix="_code_tmp", base=df)
+        out = out.withColumns({c: F.col(f"{c}_code_tmp").cast("bigint") for c in many}).drop(*[f"{c}_code_tmp" for c in many])
     return out

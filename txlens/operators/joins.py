@@ -18,6 +18,8 @@ Apart from the size measurement the plan is lazy.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,8 +71,11 @@ def keyed_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "le
         return big.join(small, keys, how).select(*out_cols)
     hot = F.broadcast(hot_keys(weights, keys, weight_col, partitions))  # < partitions rows
     row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
+    # Null keys match nothing; salts of their own keep them from meeting in one task.
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     big_s = (big.join(hot, keys, "left")
-             .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
+             .withColumn("_salt", F.when(no_key, -1 - F.pmod(row_hash, F.lit(100_000)).cast("int"))
+                         .when(F.col("_salts").isNull(), F.lit(0))
                          .otherwise(F.pmod(row_hash, F.col("_salts")).cast("int")))
              .drop("_salts"))
     small_s = (small.join(hot, keys, "left")

@@ -6,14 +6,18 @@ aggregate over the labelled rows, so nothing per-row reaches the driver.
 
 Silhouette: the exact Euclidean silhouette needs every pair of points in a
 cluster, which does not scale; Spark's ``ClusteringEvaluator`` computes the
-squared-Euclidean silhouette in O(n k) and is used (named accordingly).
+squared-Euclidean silhouette in O(n k) (named accordingly), and
+``euclidean_silhouette`` estimates the Euclidean one against a bounded reference set.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -60,6 +64,79 @@ def elbow_curve(df: DataFrame, keys: list[str], k_min: int = 2, k_max: int = 10,
     return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
+SILHOUETTE = "n_rows long, silhouette double, standard_error double, exact boolean, reference_rows int"
+_PARTS = 10
+
+
+def euclidean_silhouette(labelled: DataFrame, keys: list[str], cols: list[str], label: str = "cluster",
+                         per_cluster: int = 500, seed: int = 42) -> DataFrame:
+    """M20 with Euclidean distances: the mean of (b - a) / max(a, b) over all rows, estimated; one row.
+
+    a is a row's mean distance to the rest of its cluster, b the least mean distance to another one. The exact value needs all
+    pairs of rows; here every row is compared with a reference set, the ``per_cluster`` rows of each cluster
+    with the smallest seeded hash of their key (a bounded table: at most ``MAX_CLUSTERS`` clusters). A row is not compared with
+    itself. Rows of a cluster of one count 0. ``standard_error`` comes from ten parts of the reference set, each giving a value of its own;
+    with every cluster whole in the reference set the value is ``exact`` and the error 0. Rows with a null
+    label or coordinate take no part; fewer than two clusters give null.
+    """
+    spark = labelled.sparkSession
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [label, *cols]])
+    rows = labelled.where(whole).select(F.xxhash64(*[F.col(k).cast("string") for k in keys], F.lit(seed)).alias("_h"), F.col(label).cast("string").alias("_l"),
+                                        F.array(*[F.col(c).cast("double") for c in cols]).alias("_x"))
+    rows = cut(rows)
+    sizes = dict(map(tuple, rows.groupBy("_l").count().limit(MAX_CLUSTERS + 1).collect()))
+    if len(sizes) > MAX_CLUSTERS:
+        raise ValueError(f"{label} has more than {MAX_CLUSTERS} values: not a cluster number")
+    if len(sizes) < 2:
+        return spark.createDataFrame([(sum(sizes.values()), None, None, True, 0)], SILHOUETTE)
+    names = sorted(sizes)
+    # About the wanted number of rows lies below a hash; only these are ordered.
+    share = F.create_map(*[x for n in names for x in (F.lit(n), F.lit(min(1.0, (per_cluster + 8 * per_cluster ** 0.5) / sizes[n])))])
+    near = rows.where(F.col("_h").bitwiseAND((1 << 53) - 1) / float(1 << 53) <= share[F.col("_l")])
+    order = Window.partitionBy("_l").orderBy(F.col("_h").bitwiseAND((1 << 53) - 1), "_h", "_x")
+    found = near.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_cluster).collect()
+    k, exact = len(names), all(n <= per_cluster for n in sizes.values())
+    ref = np.array([r["_x"] for r in found])
+    group = np.array([names.index(r["_l"]) for r in found]) * _PARTS + np.array([r["_n"] % _PARTS for r in found])
+    member = np.zeros((len(found), k * _PARTS))
+    member[np.arange(len(found)), group] = 1.0
+    place = {(r["_h"], tuple(r["_x"])): i for i, r in enumerate(found)}
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = member.sum(0).reshape(1, k, _PARTS)
+        index = {n: i for i, n in enumerate(names)}
+        single = np.array([sizes[n] == 1 for n in names])
+        for batch in batches:
+            for lo in range(0, len(batch), 256):
+                b = batch.iloc[lo:lo + 256]
+                x, own = np.stack(b["_x"].to_numpy()), b["_l"].map(index).to_numpy()
+                d = np.sqrt(np.maximum(((x[:, None, :] - ref[None, :, :]) ** 2).sum(2), 0.0))
+                sums = (d @ member).reshape(len(b), k, _PARTS)
+                n = np.repeat(counts, len(b), 0)
+                for i, (h, v) in enumerate(zip(b["_h"], x)):
+                    at = place.get((h, tuple(v)))
+                    if at is not None:
+                        n[i].ravel()[group[at]] -= 1
+
+                def mean_of(total, number):
+                    with np.errstate(invalid="ignore", divide="ignore"):
+                        m = np.where(number > 0, total / number, np.nan)
+                        a = m[np.arange(len(m)), own]
+                        m[np.arange(len(m)), own] = np.nan
+                        least = np.nanmin(np.where(np.isnan(m), np.inf, m), axis=1)
+                        s = np.where(np.maximum(a, least) > 0, (least - a) / np.maximum(a, least), 0.0)
+                    s[single[own] | np.isnan(a) | np.isinf(least)] = 0.0
+                    return float(s.sum())
+                yield pd.DataFrame({"n": [len(b)], "s": [mean_of(sums.sum(2), n.sum(2))],
+                                    "parts": [[mean_of(sums[:, :, g], n[:, :, g]) for g in range(_PARTS)]]})
+
+    got = rows.mapInPandas(score, "n long, s double, parts array<double>")
+    row = got.agg(F.sum("n").alias("n"), F.sum("s").alias("s"), *[F.sum(F.col("parts")[g]).alias(f"p{g}") for g in range(_PARTS)]).first()
+    parts = np.array([row[f"p{g}"] for g in range(_PARTS)]) / row["n"]
+    error = 0.0 if exact else float(parts.std(ddof=1) / _PARTS ** 0.5)
+    return spark.createDataFrame([(row["n"], row["s"] / row["n"], error, exact, len(found))], SILHOUETTE)
+
+
 def suggest_k(curve: DataFrame, method: str = "elbow") -> int:
     """M23 + E5 on the curve table (one row per k).
 

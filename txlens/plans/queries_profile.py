@@ -350,10 +350,34 @@ def q_m27(spark, sf):
     return A.mahalanobis_scores(tx_from_orders(spark, sf), NUMS, ["transaction_id"])
 
 
-@register("m42_anomaly_report")
+def _report_sql() -> str:
+    number = lambda x: f"rtrim(rtrim(printf('%.4f', {SR(x, 4)}), '0'), '.')"
+    text = lambda x: f"CAST({x} AS VARCHAR)"
+    said = [("data", "transactions", text("n")), ("data", "features", "'4'"), ("data", "first_day", "strftime(first, '%Y-%m-%d')"),
+            ("data", "last_day", "strftime(last, '%Y-%m-%d')"), ("result", "contamination", "'0.02'"), ("result", "anomalies", text("flagged")),
+            ("result", "anomaly_pct", number("flagged * 100.0 / n")), ("result", "mean_score", number("mean")), ("result", "largest_score", number("largest")),
+            ("result", "threshold", number("threshold")), ("result", "rows_above_threshold", text("above")),
+            *[("distribution", x, number(x)) for x in ("q25", "median", "q75", "q95", "q99")], ("quality", "score_separation", number("(mean - normal) / mean"))]
+    top = [("transaction_id", "transaction_id"), ("score", number("anomaly_score")), ("product_amount", number("product_amount")),
+           ("product_category", "coalesce(product_category, 'unknown')"), ("user_id", "coalesce(user_id, 'unknown')")]
+    return (f"WITH {_scores_sql()}, {_AN}, lim AS (SELECT quantile_cont(anomaly_score, 0.98) AS lim, "
+            + ", ".join(f"quantile_cont(anomaly_score, {p}) AS {n}" for p, n in ((0.25, "q25"), (0.5, "median"), (0.75, "q75"), (0.95, "q95"), (0.99, "q99")))
+            + " FROM sc), days AS (SELECT min(transaction_date) AS first, max(transaction_date) AS last FROM raw), "
+            "one AS (SELECT count(*) AS n, count(*) FILTER (anomaly_score > lim) AS flagged, avg(anomaly_score) AS mean, max(anomaly_score) AS largest, "
+            "max(threshold) AS threshold, count(*) FILTER (is_above_threshold) AS above, avg(anomaly_score) FILTER (anomaly_score <= lim) AS normal, "
+            "any_value(q25) AS q25, any_value(median) AS median, any_value(q75) AS q75, any_value(q95) AS q95, any_value(q99) AS q99 FROM an, lim), "
+            "best AS (SELECT *, row_number() OVER (ORDER BY anomaly_score DESC, transaction_id) AS item FROM an WHERE is_above_threshold "
+            "ORDER BY anomaly_score DESC, transaction_id LIMIT 5) "
+            + _union([f"SELECT '{a}' AS section, CAST(NULL AS INTEGER) AS item, '{b}' AS metric, {v} AS value FROM one, days" for a, b, v in said]
+                     + [f"SELECT 'top', CAST(item AS INTEGER), '{m}', {v} FROM best" for m, v in top]))
+
+
+@register("m42_anomaly_report", _report_sql())
 def q_m42(spark, sf):
-    flagged = A.flag_by_contamination(_scores(spark, sf), 0.02)
-    return A.anomaly_report(flagged, _analyzed(spark, sf), 0.02)
+    raw = tx_from_orders(spark, sf)
+    scores = A.cut(A.distance_scores(raw, NUMS, ["transaction_id"]))
+    analyzed = A.analyze_anomalies(raw.select(*_AN_COLS, "transaction_date"), scores)
+    return A.anomaly_report(analyzed, 0.02, len(NUMS))
 
 
 def _apply_fixes():
