@@ -214,3 +214,11 @@ def test_prepare_numeric_data_flags(spark):
     kept = prepare_numeric_data(df, drop_non_numeric=False)
     assert kept.columns == ["i", "s", "d"] and kept.where("s is null").first()["d"] == 3.0
     assert prepare_numeric_data(df, fill_na=False).where("d is null or i is null").count() == 2
+
+
+def test_every_feature_is_described(spark, tx):
+    from txlens.operators.tx_features import build_transaction_features, build_transaction_features_simple
+    from txlens.operators.user_features import build_user_features
+    for out in (build_user_features(tx, as_of="2024-02-01 00:00:00", include_one_hot=True), build_transaction_features(tx), build_transaction_features_simple(tx)):
+        plain = [f.name for f in out.schema.fields if f.name not in ("user_id", "transaction_id") and not f.metadata.get("comment")]
+        assert not plain and len(out.columns) >= 15

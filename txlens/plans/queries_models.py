@@ -17,8 +17,9 @@ from txlens.operators import profile as P
 from txlens.operators import segment as S
 from txlens.operators.cache import cut
 from txlens.operators.decompose import SUGGESTION_THRESHOLDS, compute_pca
+from txlens.operators.user_features import build_user_features
 from txlens.plans import sql as Q
-from txlens.plans.queries import register
+from txlens.plans.queries import AS_OF, register
 from txlens.plans.queries_ml import _cached, _scratch, _users
 from txlens.plans.queries_twins import _ATTR, _attributions
 from txlens.sources.adapters import tx_from_events, tx_from_orders
@@ -235,7 +236,8 @@ def q_b4(spark, sf):
     return A.prepare_numeric_data(ev)
 
 
-_EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]  # fixed values of the driver's events
+# fixed values of the driver's events
+_EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
 @register("g23_encoded_events", f"""WITH {Q.raw_cte('events')}, u AS (SELECT user_id, row_number() OVER (ORDER BY min(transaction_id)) - 1 AS code FROM raw
@@ -245,3 +247,15 @@ WHERE user_id IS NOT NULL GROUP BY 1) SELECT CAST(u.code AS BIGINT) AS user_id,
 def q_g23(spark, sf):
     """One-hot for the five event types, ordinal codes for the users."""
     return E.encode_categorical_columns(tx_from_events(spark, sf), max_categories=10)
+
+
+_TOP_OF = """top AS (SELECT user_id, v FROM (SELECT user_id, product_category AS v, row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, product_category) AS r
+FROM raw WHERE product_category IS NOT NULL GROUP BY user_id, product_category) WHERE r = 1)"""
+
+
+@register("g22_user_features_with_dummies", f"WITH {Q.raw_cte('events')}, f AS ({Q.user_features_sql('events', AS_OF)}), {_TOP_OF} SELECT f.*, "
+          + ", ".join(f"CAST(coalesce(v, 'Unknown') = '{v}' AS INTEGER) AS top_category_{v}" for v in _EVENT_TYPES[1:])
+          + " FROM f LEFT JOIN top USING (user_id)")
+def q_g22(spark, sf):
+    """User features with the dummies of the commonest category (capped to ten values, none: Unknown)."""
+    return build_user_features(tx_from_events(spark, sf), as_of=AS_OF, include_one_hot=True)
