@@ -32,8 +32,11 @@ ISLANDS = 3
 POPULATION = 4
 GENERATIONS = 5
 EPOCHS = 2
+LEVELS = 6
+LEAST_BINS = 8       # bins that a block's tokens fill on average, at least
 WELL_FILLED = 0.995  # a bin at least this full is kept by crossover and after a round
 
+_UID = "__uid"
 _STATE = "block long, island int, uids binary, sizes binary, people binary, rank double"
 
 
@@ -195,14 +198,14 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, island
     same packing.
     """
     alone = pieces.where(F.col("length") == capacity).select("uid", (-F.col("uid") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    items, out, level = pieces.where(F.col("length") < capacity).select("uid", "length"), alone, 0
-    count = items.count()
+    items, out, level, closing = pieces.where(F.col("length") < capacity).select("uid", "length"), alone, 0, False
+    count, tokens = items.agg(F.count(F.lit(1)), F.sum("length")).first()
     while count:
-        blocks = math.ceil(count / block)
-        last = blocks == 1 or level >= 6
-        slack = capacity * (1 - WELL_FILLED)
+        # Blocks of several bins' tokens, so that one bin of each is a small part of it.
+        blocks = max(1, min(math.ceil(count / block), tokens // (LEAST_BINS * capacity)))
+        last, slack = blocks == 1, capacity * (1 - WELL_FILLED)
 
-        def unfold(batches: Iterator[pd.DataFrame], level=level, last=last, slack=slack) -> Iterator[pd.DataFrame]:
+        def unfold(batches: Iterator[pd.DataFrame], level=level, last=last, slack=slack, closing=closing) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 for b, uids, sizes, people in zip(batch["block"], batch["uids"], batch["sizes"], batch["people"]):
                     uid, size, label = np.frombuffer(uids, "<i8"), np.frombuffer(sizes, "<i4"), np.frombuffer(people, "<i4")
@@ -211,23 +214,29 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, island
                     ends = np.cumsum(size[order])
                     firsts = np.searchsorted(label[order], label[order])
                     offset = ends - size[order] - (ends[firsts] - size[order][firsts])
-                    done = np.ones(len(uid), bool) if last else fill[label[order]] >= capacity - slack
-                    yield pd.DataFrame({"uid": uid[order], "length": size[order].astype("i8"), "done": done, "offset": offset.astype("i8"),
+                    if last:
+                        whole = np.ones(len(fill), bool)
+                    elif closing:
+                        whole = (np.arange(len(fill)) != fill.argmin()) | (fill >= capacity - slack)
+                    else:
+                        whole = fill >= capacity - slack
+                    yield pd.DataFrame({"uid": uid[order], "length": size[order].astype("i8"), "done": whole[label[order]], "offset": offset.astype("i8"),
                                         "sequence_id": (level << 56) + (int(b) << 24) + label[order].astype("i8")})
 
         best = pack_round(items, blocks, capacity, islands, population, generations, epochs, seed + level)
         placed = stage(best.mapInPandas(unfold, "uid long, length long, done boolean, offset long, sequence_id long"), f"pack-level{level}")
         out = out.unionByName(placed.where("done").select("uid", "sequence_id", "offset"))
         items = placed.where("not done").select("uid", "length")
-        left = 0 if last else items.count()
-        # Bins that stay badly filled once few pieces are exchanged go to the last round as they are.
-        count, level = left, (6 if left > 0.9 * count else level + 1)
+        left, tokens = items.agg(F.count(F.lit(1)), F.sum("length")).first()
+        # Where few bins fill up any more, all but the emptiest of each block are closed from now on.
+        closing = closing or level >= LEVELS - 1 or left > 0.9 * count
+        count, level = left, level + 1
     return out
 
 
 def cut_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
                tokenizer: str | None = None, end_id: int = END_ID, entries: int = CACHE_ENTRIES) -> DataFrame:
-    """Staged pieces ``uid, doc_id, piece, start, length, ids_crc32`` of every row.
+    """Staged pieces ``__uid, doc_id, piece, start, length, ids_crc32`` of every row.
 
     A document is its ids and ``end_id``; only one longer than ``capacity`` is
     cut, into full pieces after a first piece that may be shorter. Null texts are
@@ -240,8 +249,8 @@ def cut_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         enc, end = encoder(path, entries), struct.pack("<I", end_id)
         for batch in batches:
             rows = []
-            for i, text in zip(batch["_id"], batch["_text"]):
-                data = enc.ids(text) + end
+            for i, ids in zip(batch["_id"], enc.ids_of(batch["_text"])):
+                data = ids + end
                 n = len(data) // 4
                 bounds = [0, *range((n - 1) % capacity + 1, n + 1, capacity)]
                 rows += [(i, k, a, b - a, zlib.crc32(data[4 * a:4 * b])) for k, (a, b) in enumerate(zip(bounds, bounds[1:]))]
@@ -250,7 +259,7 @@ def cut_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(id_col).cast("string").alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text"))
     pieces = rows.mapInPandas(cut, "_id string, piece int, start long, length long, ids_crc32 long")
     kind = docs.schema[id_col].dataType
-    pieces = pieces.select(F.monotonically_increasing_id().alias("uid"), F.col("_id").cast(kind).alias(id_col), "piece", "start", "length", "ids_crc32")
+    pieces = pieces.select(F.monotonically_increasing_id().alias(_UID), F.col("_id").cast(kind).alias(id_col), "piece", "start", "length", "ids_crc32")
     return stage(pieces, "pieces")
 
 
@@ -262,4 +271,5 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     of ``docs`` are ignored; an empty table gives no rows.
     """
     pieces = cut_pieces(docs, id_col, text_col, capacity, tokenizer)
-    return pieces.join(pack(pieces, capacity, **options), "uid").drop("uid")
+    places = pack(pieces.select(F.col(_UID).alias("uid"), "length"), capacity, **options)
+    return pieces.join(places.withColumnRenamed("uid", _UID), _UID).drop(_UID)

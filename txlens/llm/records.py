@@ -75,7 +75,8 @@ def write_token_records(docs: DataFrame, folder: str, id_col: str = "doc_id", te
     Returns the manifest (also stored in ``folder``): ``shard, name, records,
     tokens``. Null texts are empty (one record with the end id alone); null ids
     come first; rows with the same id are each a record, ordered by a hash of
-    their text. Payloads are uint16 unless ``wide`` (for vocabularies above 65,536). An
+    their text. Payloads are uint16 unless ``wide`` (for vocabularies above 65,536;
+    without it an id that does not fit raises ValueError). Ids of documents are integers. An
     empty table writes an empty manifest. Other columns are ignored.
     """
     path = tokenizer or default_tokenizer_path()
@@ -88,8 +89,10 @@ def write_token_records(docs: DataFrame, folder: str, id_col: str = "doc_id", te
         end, index, offset, tokens = struct.pack("<I", end_id), [], 0, 0
         out = None
         for batch in batches:
-            for i, text in zip(batch["_id"], batch["_text"]):
-                ids = np.frombuffer(enc.ids(text) + end, "<u4")
+            for i, data in zip(batch["_id"], enc.ids_of(batch["_text"])):
+                ids = np.frombuffer(data + end, "<u4")
+                if not wide and int(ids.max()) > 0xFFFF:
+                    raise ValueError(f"id {int(ids.max())} needs wide=True: it does not fit 16 bits")
                 record = frame(ids.astype(width).tobytes())
                 if out is None:
                     out = store.open_output_stream(own + ".rec", buffer_size=_BUFFER)

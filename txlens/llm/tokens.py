@@ -11,19 +11,22 @@ bounded: a full table takes no new entries (frequent words come first).
 
 from __future__ import annotations
 
+import gc
 import re
 import struct
+from collections.abc import Iterable, Iterator
 
 import regex
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
 END_ID = 0
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 800_000
 MAX_UNIT = 200  # characters; longer units are encoded without being remembered
 
 # The pre-token pattern of byte-level BPE; a fixed value of the format.
 _PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _TOUCHING = re.compile(r"\s\s")
+_POINTS = frozenset(".,;:!?")
 _ENCODERS: dict[tuple[str, int], "WordEncoder"] = {}
 
 
@@ -48,32 +51,36 @@ class _PreTokens(dict):
         super().__init__()
         self.model, self.limit, self.alphabet = tokenizer.model, limit, _byte_alphabet()
 
+    def encode(self, word: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.alphabet))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def __missing__(self, word: str) -> bytes:
-        if word.isascii() and word[1:].isalnum() and word[0] == " ":
-            shown = self.alphabet[32] + word[1:]
-        else:
-            shown = word.encode().decode("latin-1").translate(self.alphabet)
-        ids = [t.id for t in self.model.tokenize(shown)]
-        out = struct.pack(f"<{len(ids)}I", *ids)
+        out = self.encode(word)
         if len(self) < self.limit and len(word) <= MAX_UNIT:
             self[word] = out
         return out
 
 
 class _Units(dict):
-    """Space-separated unit -> ids; splits a new unit into pre-tokens."""
+    """Unit after a space -> ids of the space and the unit; splits a new unit into pre-tokens."""
 
     def __init__(self, tokenizer, limit: int):
         super().__init__()
-        self.words, self.limit = _PreTokens(tokenizer, limit), limit // 2
+        self.bare, self.limit = _PreTokens(tokenizer, limit // 4), limit - limit // 4
+        self.space, self.tokenize = self.bare.alphabet[32], tokenizer.model.tokenize
 
     def __missing__(self, unit: str) -> bytes:
-        if unit[1:].isalpha() and unit[0] == " ":
-            out = self.words[unit]
-        elif unit[1:-1].isalpha() and unit[0] == " " and unit[-1] in ".,;:!?":
-            out = self.words[unit[:-1]] + self.words[unit[-1]]
+        if unit.isalpha():
+            if unit.isascii():
+                ids = [t.id for t in self.tokenize(self.space + unit)]
+                out = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                out = self.bare.encode(" " + unit)
+        elif unit[-1:] in _POINTS and unit[:-1].isalpha():
+            out = self[unit[:-1]] + self.bare[unit[-1]]
         else:
-            out = b"".join(map(self.words.__getitem__, _PRE_TOKEN.findall(unit)))
+            out = b"".join(self[p[1:]] if p[0] == " " and p[1:].isalpha() else self.bare[p] for p in _PRE_TOKEN.findall(" " + unit))
         if len(self) < self.limit and len(unit) <= MAX_UNIT:
             self[unit] = out
         return out
@@ -100,10 +107,19 @@ class WordEncoder:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             return struct.pack(f"<{len(ids)}I", *ids)
         first, *rest = text.split(" ")
-        units = [" " + u for u in rest]
-        if first:
-            units.insert(0, first)
-        return b"".join(map(self.units.__getitem__, units))
+        head = b"".join(map(self.units.bare.__getitem__, _PRE_TOKEN.findall(first))) if first else b""
+        return head + b"".join(map(self.units.__getitem__, rest))
+
+    def ids_of(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """``ids`` of each text. The cycle collector, which would walk the word memory again and again, rests meanwhile;
+        nothing made here is cyclic."""
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            yield from map(self.ids, texts)
+        finally:
+            if collecting:
+                gc.enable()
 
 
 def encoder(path: str, entries: int = CACHE_ENTRIES) -> WordEncoder:
