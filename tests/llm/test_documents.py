@@ -144,6 +144,68 @@ def test_imatch_matches_brute_force(spark, docs, none):
     assert one.edited_sha256 == hashlib.sha256(b"abcdab").hexdigest()
 
 
+def _xx(*parts):
+    """Spark's xxhash64 of strings, longs (int) and small constants (in a 1-tuple), as a signed number."""
+    import xxhash
+    h = 42
+    for p in parts:
+        data = p.encode() if isinstance(p, str) else struct.pack("<i", p[0]) if isinstance(p, tuple) else struct.pack("<q", p)
+        h = xxhash.xxh64_intdigest(data, h)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def _print_of(text, lexicon):
+    terms = sorted({_xx(w) for w in re.split("[\x20\x09-\x0D]+", text.lower()) if w})
+    n = imatch.SUBSETS * imatch.LEVELS
+    ours, every = [0] * n, [0] * n
+    for t in terms:
+        place, half = _xx(t, (1,)), _xx(t, (2,)) & 0x7FFFFFFF
+        for lv in range(imatch.LEVELS):
+            j = place & (imatch.SUBSETS * 4 ** lv - 1)
+            if j < imatch.SUBSETS:
+                every[lv * imatch.SUBSETS + j] ^= half
+                ours[lv * imatch.SUBSETS + j] ^= half if t in lexicon else 0
+    known = sum(t in lexicon for t in terms)
+    if known < imatch.FEW_TERMS or known < imatch.LEAST_KNOWN * len(terms):
+        ours = [0] * n
+    return _xx(*terms) & (1 << 64) - 1, ours, every
+
+
+def _alike(a, b):
+    if a[0] == b[0]:
+        return 1.0
+    one, two = (a[1], b[1]) if any(a[1]) and any(b[1]) else (a[2], b[2])
+    pairs = [x == y if x or y else None for x, y in zip(one, two)]
+    levels = [[x for x in pairs[k:k + imatch.SUBSETS] if x is not None] for k in range(0, len(pairs), imatch.SUBSETS)]
+    good = [sum(x) / len(x) for x in levels if len(x) >= imatch.MIN_INFORMED]
+    rest = [x for x in pairs if x is not None]
+    return max(good) if good else sum(rest) / len(rest) if rest else 0.0
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_imatch_fingerprints_equal_brute_force(spark, docs, monkeypatch, limit):
+    """``fingerprint``, ``near_edited`` and ``near_next`` of every row, the fallback to all terms included."""
+    if limit is not None:
+        monkeypatch.setattr(imatch, "fits_broadcast", lambda *_: False)
+    rows = sorted({(i is None, -(i or 0), _xx(t or ""), t or "") for i, t, _ in nasty.texts()})
+    texts = [t for *_, t in rows]
+    df = collections.Counter(x for t in set(texts) for x in {_xx(w) for w in re.split("[\x20\x09-\x0D]+", t.lower()) if w})
+    least, most = 0.02, 0.95
+    n = len(set(texts))
+    lexicon = {x for x, c in df.items() if max(2.0, least * n) <= c <= max(2.0, most * n)}
+    want = {}
+    for (null, minus, _, t), after in zip(rows, texts[1:] + texts[:1]):
+        k = len(t) // 3
+        own, edited, nxt = (_print_of(x, lexicon) for x in (t, t[:len(t) - k] + after[:k], after))
+        said = "-".join([f"{own[0]:016x}", *["".join(f"{m:08x}" for m in half) for half in own[1:]]])
+        want[None if null else -minus, len(t), said] = (_alike(own, edited), _alike(own, nxt))
+    got = imatch.edited_fingerprints(docs, least=least, most=most).collect()
+    assert {(r.doc_id, r.n_chars, r.fingerprint) for r in got} == set(want)
+    assert any(any(_print_of(t, lexicon)[1]) for t in texts) and any(not any(_print_of(t, lexicon)[1]) for t in texts if t)
+    for r in got:
+        assert (r.near_edited, r.near_next) == pytest.approx(want[r.doc_id, r.n_chars, r.fingerprint])
+
+
 def test_imatch_in_a_family_that_holds_a_third_of_the_rows(spark):
     """Near copies, and exact copies, of one text make its terms frequent; its likenesses stay."""
     base = " ".join(f"base{k}" for k in range(300))

@@ -36,17 +36,19 @@ def terms(text: Column) -> Column:
 def lexicon(docs: DataFrame, text_col: str = "text", least: float = LEAST_SHARE, most: float = MOST_SHARE) -> DataFrame:
     """Staged ``term`` hashes whose document frequency is within the band, counted over all distinct texts.
 
-    A term must occur in two texts at least. Only texts that have copies are shuffled,
-    one of each from a map task at most.
+    A term must occur in two texts at least. Texts are not shuffled: of those that have copies, the terms are, each
+    once from a map task.
     """
     rows = docs.select(F.coalesce(text_col, F.lit("")).alias("_t")).select(F.xxhash64("_t").alias("_h"), "_t")
     hashes = stage(rows.groupBy("_h").agg(F.count(F.lit(1)).alias("times")), "imatch-texts")
     n = hashes.count()
     copied = stage(hashes.where("times > 1").select("_h"), "imatch-copied")
     few = F.broadcast(copied) if fits_broadcast(copied, 16) else copied
-    once = rows.join(few, "_h", "left_anti").select("_t")
-    once = once.unionByName(rows.join(few, "_h", "left_semi").groupBy("_h").agg(F.first("_t").alias("_t")).select("_t"))
-    df = once.select(F.explode(terms(F.col("_t"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    once = rows.join(few, "_h", "left_anti").select(F.explode_outer(terms(F.col("_t"))).alias("term"))
+    # Of copies only terms are aggregated, never texts: each (text, term) counts once.
+    copies = rows.join(few, "_h", "left_semi").select("_h", terms(F.col("_t")).alias("_l")).select("_h", F.explode_outer("_l").alias("term"))
+    every = once.unionByName(copies.distinct().select("term")).where(F.col("term").isNotNull())
+    df = every.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     kept = df.where((F.col("df") >= max(2.0, least * n)) & (F.col("df") <= max(2.0, most * n))).select("term")
     return stage(kept, "imatch-lexicon")
 
@@ -59,7 +61,7 @@ def fingerprint(texts: DataFrame, keys: list[str], text_col: str, lex: DataFrame
     terms. The lexicon's half is 0 throughout for a text with fewer lexicon terms than
     ``FEW_TERMS`` or than a ``LEAST_KNOWN`` share of its terms. The hash of a subset's terms is
     the exclusive-or of the terms' own hashes, which needs no order, so no list of terms is
-    gathered: each term adds to its subsets in one aggregate, to all terms' hash in
+    gathered: each term adds to its subset of each level, to all terms' hash in
     the upper half of a long and to the lexicon's in the lower. Rows already dealt
     by (some of) ``keys`` are not shuffled for it.
     """
@@ -69,15 +71,19 @@ def fingerprint(texts: DataFrame, keys: list[str], text_col: str, lex: DataFrame
     rows = found.join(F.broadcast(marked) if fits_broadcast(lex, 16, 32 << 20) else marked, "term", "left")
     rows = rows.select(*keys, "whole", "term", "_in", F.when(F.col("term").isNotNull(), F.xxhash64("term", F.lit(1))).alias("_place"),
                        F.xxhash64("term", F.lit(2)).bitwiseAND(F.lit(0x7FFFFFFF)).alias("_half"))
-    rows = rows.select("*", F.shiftleft("_half", 32).bitwiseOR(F.when(F.col("_in"), F.col("_half")).otherwise(F.lit(0).cast("long"))).alias("_hash"))
-    # Level l deals the lexicon into 8 * 4^l parts and uses its first 8 as subsets.
-    subsets = [F.bit_xor(F.when(F.col("_place").bitwiseAND(F.lit(SUBSETS * 4 ** lv - 1)) == j, F.col("_hash")))
-               for lv in range(LEVELS) for j in range(SUBSETS)]
-    got = rows.groupBy(*keys).agg(F.first("whole").alias("whole"), F.count("_in").alias("_known"), F.count("term").alias("_size"),
-                                  *[x.alias(f"_s{i}") for i, x in enumerate(subsets)])
+    rows = rows.select(*keys, "whole", "term", "_in", F.col("_place").bitwiseAND(F.lit(SUBSETS - 1)).alias("_j"), F.shiftright("_place", 3).alias("_place"),
+                       F.shiftleft("_half", 32).bitwiseOR(F.when(F.col("_in"), F.col("_half")).otherwise(F.lit(0).cast("long"))).alias("_hash"))
+    # Level l deals the lexicon into 8 * 4^l parts and uses its first 8 as subsets: a term's number among
+    # them is the low bits of its place at every level, so it is aggregated by that number, once per level.
+    part = rows.groupBy(*keys, "whole", "_j").agg(
+        F.count("_in").alias("_known"), F.count("term").alias("_size"),
+        *[F.bit_xor(F.when(F.col("_place").bitwiseAND(F.lit(4 ** lv - 1)) == 0, F.col("_hash"))).alias(f"_l{lv}") for lv in range(LEVELS)])
+    got = part.groupBy(*keys, "whole").agg(
+        F.sum("_known").alias("_known"), F.sum("_size").alias("_size"),
+        *[F.max(F.when(F.col("_j") == j, F.col(f"_l{lv}"))).alias(f"_s{lv * SUBSETS + j}") for lv in range(LEVELS) for j in range(SUBSETS)])
     known = (F.col("_known") >= FEW_TERMS) & (F.col("_known") >= LEAST_KNOWN * F.col("_size"))
     half = lambda c: F.coalesce(c.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"), F.lit(0))
-    ours = [F.col(f"_s{i}") for i in range(len(subsets))]
+    ours = [F.col(f"_s{i}") for i in range(SUBSETS * LEVELS)]
     return got.select(*keys, "whole", F.array(*[F.when(known, half(c)).otherwise(0) for c in ours], *[half(F.shiftright(c, 32)) for c in ours]).alias("marks"))
 
 
