@@ -105,6 +105,38 @@ def test_jaccard_join_with_hot_blocks(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == _links([(i, t) for i, t, _ in rows])
 
 
+def test_jaccard_join_by_shuffle_alone(spark, docs, monkeypatch):
+    """With every size limit at 0, as for tables too large to broadcast."""
+    from txlens.llm import common
+    monkeypatch.setattr(common, "fits_broadcast", lambda *_: False)
+    monkeypatch.setattr(jaccard_join, "fits_broadcast", lambda *_: False)
+    got = jaccard_join.jaccard_components(docs).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == _links([(i, t) for i, t, _ in nasty.texts() if i is not None])
+
+
+@pytest.mark.parametrize("outsiders", [1, 4])
+def test_jaccard_join_with_an_outsider_in_a_hot_key(spark, monkeypatch, outsiders):
+    """A family of copies and documents that hold most, but not enough, of its text: no pairs inside the family."""
+    monkeypatch.setattr(jaccard_join, "HOT", 10_000)  # every key takes part
+    base = nasty.prose(300, 5)
+    family = [nasty.edited(base, 0.004, i) for i in range(90)]
+    rows = [(i, t, "a") for i, t in enumerate(family)]
+    rows += [(500 + i, base + " " + nasty.prose(62 + i, 70 + i), "a") for i in range(outsiders)]
+    sizes = collections.Counter()
+    plain = jaccard_join.stage
+
+    def counted(df, label):
+        out = plain(df, label)
+        sizes[label] = max(sizes[label], out.count())
+        return out
+    monkeypatch.setattr(jaccard_join, "stage", counted)
+    got = jaccard_join.jaccard_components(nasty.docs(spark, rows)).collect()
+    want = _links([(i, t) for i, t, _ in rows])
+    assert len({c for _, c in want.values()}) == 1 + outsiders
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    assert sizes["jaccard-rest"] <= outsiders * (90 + outsiders) and sizes["jaccard-pairs"] < 90 * 89 / 4
+
+
 def test_sketch_bounds():
     """Blocks that differ, and the narrow sketch's Hamming distance, never exceed the symmetric difference."""
     import numpy as np

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from txlens.session import checkpoint_dir
 
 BROADCAST_BYTES = 8 << 20  # a lookup side is broadcast up to this measured size
+BATCH_BYTES = 4 << 20      # of texts in one Arrow batch, where a task holds much besides
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
@@ -18,6 +20,22 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> Iterator[None]:
+    """Inside, Arrow batches of texts sent to Python end at so many bytes (by default Spark sends up to 64 MB at once,
+    which a task holds several times over). The session's own setting returns afterwards."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 

@@ -13,9 +13,10 @@ exact set intersection verifies the rest.
 Hot blocks lose no link. A block is bad for a set if it is empty or its key is
 held by more than ``HOT`` sets. A set with at most z bad blocks shares a good block with
 every partner, so only sets with more bad blocks meet in hot keys. There, and
-everywhere, candidates are first compared with one pivot per key; pairs already in
-one component need no comparison, and only pairs of different components
-follow. Equal sets are one set from the start, represented by their smallest id.
+everywhere, candidates are first compared with one pivot per key, and where components differ
+with a few more; pairs already in one component need no comparison. Of the pairs that
+follow one side is always outside the key's largest component, so a family of copies
+that one outsider joins is never paired with itself. Equal sets are one set from the start, represented by their smallest id.
 """
 
 from __future__ import annotations
@@ -24,11 +25,11 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txlens.llm.common import fits_broadcast, lookup, stage
+from txlens.llm.common import fits_broadcast, lookup, small_batches, stage
 from txlens.llm.components import components
 from txlens.llm.shingles import mix, shingle_set
 
@@ -37,6 +38,7 @@ PERCENT = 85       # linked if 100 * intersection >= PERCENT * union
 BAND_RATIO = 1.5
 HOT = 32
 KEY_BROADCAST = 48 << 20
+ROUNDS = 1         # further pivots per key before members of different components are paired
 
 
 def band_of(n: int) -> int:
@@ -90,41 +92,57 @@ def sketch(shingles: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int,
     return out
 
 
-def _sets(docs: DataFrame, width: int) -> DataFrame:
-    """``u, n, d1, d2`` of every row: set size and a 128-bit digest of the set."""
-    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for u, text in zip(batch["u"], batch["t"]):
-                s = shingle_set(text, width)
-                rows.append((u, len(s), int(np.bitwise_xor.reduce(mix(s ^ np.uint64(1))).view(np.int64)) if len(s) else 0,
-                             int(mix(s).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0))
-            yield pd.DataFrame(rows, columns=["u", "n", "d1", "d2"])
-    return docs.mapInPandas(digest, "u string, n long, d1 long, d2 long").withColumn("u", F.col("u").cast("long"))
+_TEXTS = "u long, first boolean, n long, d1 long, d2 long, band int, empty int, z int, keys array<long>, bits array<long>"
+_SLICE = 256  # texts turned into Python objects at a time
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
+    """Ids and texts of a few rows at a time."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, _SLICE):
+            part = batch.slice(lo, _SLICE)
+            yield part.column("u").to_pylist(), part.column("t").to_pylist()
+
 
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*parts, np.zeros(0, np.int64)]).astype(np.int64, copy=False)))
 
-def _sketches(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for u, text in zip(batch["u"], batch["t"]):
+
+def _texts(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """All that is needed of every text but its set, in one pass: a row per band with its sketch.
+
+    The ``first`` row of a text also counts for its size n and a 128-bit digest of its set; a text
+    without shingles has that row alone, without a sketch.
+    """
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, texts in _slices(batches):
+            rows, keys, bits = [], [], []
+            for u, text in zip(ids, texts):
                 s = shingle_set(text, width)
-                rows += [(u, len(s), *one) for one in sketch(s, percent)]
-                if len(rows) >= 500:
-                    yield pd.DataFrame(rows, columns=["u", "n", "band", "empty", "z", "keys", "bits"])
-                    rows = []
-            yield pd.DataFrame(rows, columns=["u", "n", "band", "empty", "z", "keys", "bits"])
-    out = docs.mapInPandas(build, "u string, n long, band int, empty int, z int, keys array<long>, bits array<long>")
-    return out.withColumn("u", F.col("u").cast("long"))
+                found = sketch(s, percent) if u is not None else []
+                d1 = int(np.bitwise_xor.reduce(mix(s ^ np.uint64(1))).view(np.int64)) if len(s) else 0
+                d2 = int(mix(s).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0
+                for k, (band, empty, z, key, narrow) in enumerate(found):
+                    rows.append((u, k == 0, len(s), d1, d2, band, empty, z))
+                    keys.append(key)
+                    bits.append(narrow)
+                if not found:
+                    rows.append((u, True, len(s), d1, d2, None, None, None))
+                    keys.append(np.zeros(0, np.int64))
+                    bits.append(np.zeros(0, np.int64))
+            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)]
+            yield pa.RecordBatch.from_arrays([*columns, _lists(keys), _lists(bits)], [c.split()[0] for c in _TEXTS.split(", ")])
+    return docs.mapInArrow(build, _TEXTS)
 
 
 def _full_sets(docs: DataFrame, width: int) -> DataFrame:
-    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for lo in range(0, len(batch), 500):
-                part = batch.iloc[lo:lo + 500]
-                yield pd.DataFrame({"u": part["u"], "s": [shingle_set(t, width).view(np.int64) for t in part["t"]]})
-    return docs.mapInPandas(build, "u string, s array<long>").withColumn("u", F.col("u").cast("long"))
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, texts in _slices(batches):
+            sets = [shingle_set(t, width).view(np.int64) for t in texts]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), _lists(sets)], ["u", "s"])
+    return docs.mapInArrow(build, "u long, s array<long>")
 
 
 def _hamming(a: str, b: str) -> Column:
@@ -158,17 +176,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     A row without id is linked with nothing. Other columns are ignored; an empty
     table gives no rows.
     """
-    rows = docs.select(F.col(id_col).cast("string").alias("u"), F.col(text_col).alias("t"))
-    size = stage(_sets(rows, width), "jaccard-sets")
+    spark = docs.sparkSession
+    rows = docs.select(F.col(id_col).cast("long").alias("u"), F.col(text_col).alias("t"))
+    with small_batches(spark):
+        texts = stage(_texts(rows, width, percent), "jaccard-texts")
+    size = texts.where("first").select("u", "n", "d1", "d2")
     named = size.where("n > 0 and u is not null")
     classes = named.groupBy("n", "d1", "d2").agg(F.min("u").alias("rep"), F.max("u").alias("top"))
     classes = stage(classes, "jaccard-classes")
     copies = classes.where("rep < top").select("n", "d1", "d2", "rep")
     copies = stage(lookup(named, copies, ["n", "d1", "d2"], "inner", 48).where("u > rep").select("u", "rep").distinct(), "jaccard-copies")
-    copy_ids = copies.select(F.col("u").cast("string").alias("u")).distinct()
-    singles = rows.where("u is not null").join(F.broadcast(copy_ids) if fits_broadcast(copies, 64) else copy_ids, "u", "left_anti")
-
-    sketches = stage(_sketches(singles, width, percent), "jaccard-sketches")
+    copy_ids = copies.select("u").distinct()
+    singles = texts.where("band is not null").drop("first", "d1", "d2")
+    if fits_broadcast(copies, 64):
+        sketches = singles.join(F.broadcast(copy_ids), "u", "left_anti")
+    else:
+        sketches = stage(singles.join(copy_ids, "u", "left_anti"), "jaccard-sketches")
     member = sketches.select("u", "n", "band", "empty", "z", F.explode("keys").alias("k"))
     keys = member.groupBy("k").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     keys = stage(keys, "jaccard-keys")
@@ -184,12 +207,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     group = stage(group.select("k", "u", "n", "band").join(degree, "u"), "jaccard-groups")
 
     needed = stage(group.select("u").distinct(), "jaccard-needed")
-    ids = needed.select(F.col("u").cast("string").alias("u"))
-    chosen = rows.join(F.broadcast(ids) if fits_broadcast(needed, 64, KEY_BROADCAST) else ids, "u", "left_semi")
+    chosen = rows.join(F.broadcast(needed) if fits_broadcast(needed, 64, KEY_BROADCAST) else needed, "u", "left_semi")
     sets = _full_sets(chosen, width)
     if not named.groupBy("u").count().where("count > 1").isEmpty():
         sets = sets.dropDuplicates(["u"])  # repeated ids
-    sets = stage(sets, "jaccard-full")
+    with small_batches(spark):
+        sets = stage(sets, "jaccard-full")
 
     # First every member against its key's pivot, the member sharing most blocks.
     share = F.col("degree") / F.col("n")
@@ -200,20 +223,35 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = stage(_verified(stage(pairs, "jaccard-pairs"), sets, percent), "jaccard-links")
     label = stage(components(links), "jaccard-labels")
 
-    # Then the pairs of each key that are not in one component yet.
-    labelled = lookup(group, label.withColumnRenamed("node", "u"), ["u"], "left", 24)
-    labelled = stage(labelled.select("k", "u", "n", "band", F.coalesce("component", "u").alias("l")), "jaccard-labelled")
-    mixed = stage(labelled.groupBy("k").agg(F.min("l").alias("lo"), F.max("l").alias("hi")).where("lo < hi").select("k"), "jaccard-mixed")
-    open_ = lookup(labelled, mixed, ["k"], "left_semi", 16)
+    # Then keys that still hold several components: a few rounds against one more pivot each, out of the
+    # component with most members there, and then the pairs that are left.
     narrow = sketches.select("u", "band", "bits")
-    open_ = stage(open_.join(narrow, ["u", "band"]), "jaccard-open")
-    one = open_.select("k", *[F.col(c).alias(f"{c}1") for c in ("u", "n", "l", "bits")])
-    two = open_.select("k", *[F.col(c).alias(f"{c}2") for c in ("u", "n", "l", "bits")])
-    most = F.floor((100 - percent) * (F.col("n1") + F.col("n2")) / (100 + percent))
-    near = ((F.col("u1") < F.col("u2")) & (F.col("l1") != F.col("l2"))
-            & (100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")) & (_hamming("bits1", "bits2") <= most))
-    rest = one.join(two, "k").where(near).select(F.col("u1").alias("a"), F.col("u2").alias("b")).distinct()
-    links = links.unionByName(stage(_verified(stage(rest, "jaccard-rest"), sets, percent), "jaccard-more"))
+    for turn in range(ROUNDS + 1):
+        labelled = lookup(group, label.withColumnRenamed("node", "u"), ["u"], "left", 24)
+        labelled = stage(labelled.select("k", "u", "n", "band", F.coalesce("component", "u").alias("l")), "jaccard-labelled")
+        counts = labelled.groupBy("k", "l").agg(F.count(F.lit(1)).alias("c"), F.min(F.xxhash64("u", F.lit(turn))).alias("h"))
+        most = counts.groupBy("k").agg(F.max(F.struct("c", "l", "h")).alias("m"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+        most = stage(most.select("k", F.col("m.l").alias("big"), F.col("m.h").alias("h")), "jaccard-mixed")
+        if most.isEmpty():
+            break
+        open_ = stage(lookup(labelled, most, ["k"], "inner", 32).join(narrow, ["u", "band"]), "jaccard-open")
+        side = lambda df, i, *more: df.select("k", *more, *[F.col(c).alias(f"{c}{i}") for c in ("u", "n", "l", "bits")])
+        inside = F.col("l") == F.col("big")
+        if turn < ROUNDS:
+            chosen = open_.where(inside & (F.xxhash64("u", F.lit(turn)) == F.col("h"))).dropDuplicates(["k"])
+            both = lookup(side(open_.where(~inside), 1), stage(side(chosen, 2), "jaccard-pivots"), ["k"], "inner", 300)
+        else:
+            # Members of the largest component meet the others alone, never one another.
+            both = side(open_.where(~inside), 1).join(side(open_, 2, "big"), "k").where(
+                (F.col("l1") != F.col("l2")) & ((F.col("l2") == F.col("big")) | (F.col("u1") < F.col("u2"))))
+        at_most = F.floor((100 - percent) * (F.col("n1") + F.col("n2")) / (100 + percent))
+        near = (100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")) & (_hamming("bits1", "bits2") <= at_most)
+        rest = both.where(near).select(F.col("u1").alias("a"), F.col("u2").alias("b"))
+        more = stage(_verified(stage(rest.distinct(), "jaccard-rest"), sets, percent), "jaccard-more")
+        if more.isEmpty():
+            continue
+        links = stage(links.unionByName(more), "jaccard-links")
+        label = stage(components(links), "jaccard-labels")
     # Copies hang on their representative.
     links = links.unionByName(copies.select(F.col("rep").alias("a"), F.col("u").alias("b")))
     final = stage(components(links), "jaccard-components")
