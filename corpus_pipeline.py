@@ -29,8 +29,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies: the smallest id."""
-    return jaccard_join.drop_near_copies(docs)
+    """One document of each component of near copies (five-word shingles, similarity 0.8): the smallest id."""
+    return jaccard_join.drop_near_copies(docs, width=5, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
