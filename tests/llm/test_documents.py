@@ -63,6 +63,21 @@ def test_exact_dedup_by_shuffle(spark, docs, monkeypatch):
     want = sorted(map(str, exact_dedup.refine(docs).drop("full_hash", "kept").collect()))
     monkeypatch.setattr(exact_dedup, "fits_broadcast", lambda *a: False)
     assert sorted(map(str, exact_dedup.refine(docs).drop("full_hash", "kept").collect())) == want
+    texts = {t or "" for _, t, _ in nasty.texts()}
+    left = exact_dedup.drop_copies(docs).select(F.coalesce("text", F.lit("")).alias("t")).collect()
+    assert len(left) == len(texts) and {r.t for r in left} == texts
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_full_content_is_read_for_survivors_alone(spark, monkeypatch, small):
+    """Whatever the number of surviving keys: by the key table, or by a bitmap of fixed size (a few others may pass that)."""
+    monkeypatch.setattr(exact_dedup, "fits_broadcast", lambda *_: small)
+    rows = spark.range(5000).select((F.col("id") % 997).alias("_len"), F.xxhash64("id").alias("_prefix"), F.col("id").cast("string").alias("_text"))
+    keys = rows.where(F.col("_text").cast("int") % 10 == 0).select("_len", "_prefix")
+    got = exact_dedup._marked(rows.withColumn("number", F.col("_text").cast("int")), keys, ["_len", "_prefix"], 32, {"_sha": F.sha2("_text", 256)}).collect()
+    assert len(got) == 5000 and all(r._in == (r.number % 10 == 0) for r in got)
+    assert all(r._sha == hashlib.sha256(str(r.number).encode()).hexdigest() for r in got if r._in)
+    assert sum(r._sha is not None for r in got) <= 500 + (0 if small else 20)
 
 
 def _links(rows, width=4, percent=85):

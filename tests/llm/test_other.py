@@ -193,7 +193,7 @@ def test_pipeline_stages(spark, tmp_path):
     assert sorted(r.doc_id for r in kept[1]) == sorted(max(g) for g in texts.values())
     sys.path.insert(0, str(Path(__file__).parent))
     from test_documents import _links
-    component = _links([(r.doc_id, r.text) for r in kept[1]])
+    component = _links([(r.doc_id, r.text) for r in kept[1]], width=5, percent=80)
     assert sorted(r.doc_id for r in kept[2]) == sorted(i for i, (_, c) in component.items() if i == c)
     counts = collections.Counter(r.doc_id for r in kept[3])
     assert set(counts) <= {r.doc_id for r in kept[2]} and max(counts.values()) <= 3
@@ -204,6 +204,6 @@ def test_pipeline_stages(spark, tmp_path):
 def test_registered():
     import __spark_entry__ as entry
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([q for q in names if q.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names
