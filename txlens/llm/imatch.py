@@ -65,8 +65,9 @@ def fingerprint(texts: DataFrame, keys: list[str], text_col: str, lex: DataFrame
     the upper half of a long and to the lexicon's in the lower. Rows already dealt
     by (some of) ``keys`` are not shuffled for it.
     """
-    found = texts.select(*keys, terms(F.col(text_col)).alias("_t"))
-    found = found.select(*keys, F.xxhash64("_t").alias("whole"), F.explode_outer("_t").alias("term"))
+    # The hash of all terms is computed before they are dealt out: once a text, not once a term.
+    found = texts.select(*keys, terms(F.col(text_col)).alias("_t")).select(*keys, "_t", F.xxhash64("_t").alias("whole"))
+    found = found.select(*keys, "whole", F.explode_outer("_t").alias("term"))
     marked = lex.withColumn("_in", F.lit(True))
     rows = found.join(F.broadcast(marked) if fits_broadcast(lex, 16, 32 << 20) else marked, "term", "left")
     rows = rows.select(*keys, "whole", "term", "_in", F.when(F.col("term").isNotNull(), F.xxhash64("term", F.lit(1))).alias("_place"),
