@@ -18,10 +18,12 @@ from txlens.operators import segment as S
 from txlens.operators.cache import cut
 from txlens.operators.decompose import SUGGESTION_THRESHOLDS, compute_pca
 from txlens.operators.user_features import build_user_features
+from txlens.plans import queries_profile as PQ
 from txlens.plans import sql as Q
 from txlens.plans.queries import AS_OF, register
 from txlens.plans.queries_ml import _cached, _scratch, _users
 from txlens.plans.queries_twins import _ATTR, _attributions
+from txlens.plans.training import write_csv
 from txlens.sources.adapters import tx_from_events, tx_from_orders
 from txlens.sources.readers import read_table
 
@@ -259,3 +261,24 @@ FROM raw WHERE product_category IS NOT NULL GROUP BY user_id, product_category)
 def q_g22(spark, sf):
     """User features with the dummies of the commonest category (capped to ten values, none: Unknown)."""
     return build_user_features(tx_from_events(spark, sf), as_of=AS_OF, include_one_hot=True)
+
+
+# --- score consumers on the distance scores ----------------------------------------------------
+
+@register("e6_qq_ranks", f"""WITH {PQ._scores_sql()}, {PQ._FLAG}, n AS (SELECT anomaly_score AS v, row_number() OVER (ORDER BY anomaly_score) - 1 AS r, count(*) OVER () AS n
+FROM fl WHERE NOT is_anomaly) SELECT r AS rank, v AS sample_quantile, {SR('0.01 + 0.98 * r / greatest(n - 1, 1)', 6)} AS probability FROM n""")
+def q_e6_ranks(spark, sf):
+    out = A.qq_points(A.flag_by_contamination(PQ._scores(spark, sf), 0.02))
+    return out.select("rank", "sample_quantile", R("probability", 6).alias("probability"))
+
+
+_EXPORTED = ["transaction_id", "user_id", "product_amount", "anomaly_score", "threshold", "is_above_threshold", "severity"]
+
+
+@register("a8_export_of_distance_scores", f"WITH {PQ._scores_sql()}, {PQ._AN} SELECT {', '.join(_EXPORTED)} FROM an WHERE is_above_threshold")
+def q_a8(spark, sf):
+    """Suspicious transactions written as CSV and read back."""
+    flagged = PQ._analyzed(spark, sf).where("is_above_threshold").select(*_EXPORTED)
+    path = write_csv(flagged, _scratch(spark))
+    schema = "transaction_id string, user_id string, product_amount double, anomaly_score double, threshold double, is_above_threshold boolean, severity string"
+    return spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"').csv(path)
