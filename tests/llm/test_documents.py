@@ -471,3 +471,33 @@ def test_global_rank(spark):
     got = with_rank(df, [df["x"].desc()], "test-rank").orderBy("_rank").collect()
     assert [r["_rank"] for r in got] == list(range(200))
     assert [r.x for r in got] == sorted((i % 17 for i in range(200)), reverse=True)
+
+
+def test_balance_with_moments_that_couple_the_sources(spark):
+    """Targets and shares are met, and the rates have the one form that the entropy's minimum has."""
+    import math
+    r = random.Random(12)
+    rows = [(i, nasty.prose(r.randrange(5, 60), i), r.choice(["en", "de", "fr", None]), r.choice(["a", "b", "c", None]), 0) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    sources = mixing._rows(docs, "doc_id", "text", "source").groupBy("_none", "_source").agg(F.sum("_size").alias("_total"))
+    goals = mixing.targets(sources)
+    rates, mu = mixing.balance(docs, goals, {"lang": {"en": 0.5, "de": 0.2, "none such": 0.1}})
+    got = rates.collect()
+    target = {(x._none, x._source): x._target for x in goals.collect()}
+    tokens = lambda x: x._n * x._size * x._rate
+    for key, goal in target.items():
+        assert sum(tokens(x) for x in got if (x._none, x._source) == key) == pytest.approx(goal, rel=1e-6)
+    whole = sum(target.values())
+    for i, share in enumerate((0.5, 0.2)):
+        assert sum(tokens(x) for x in got if x._values[i]) == pytest.approx(share * whole, rel=1e-6)
+    for key in target:  # log rate = lambda of the source + mu of the language
+        lam = {round(math.log(x._rate) - sum(m for m, v in zip(mu.values(), x._values) if v), 6) for x in got if (x._none, x._source) == key}
+        assert len(lam) == 1
+    assert mu["lang", "en"] != 0 and mu["lang", "none such"] == 0
+    alone, none = mixing.balance(docs, goals, {})
+    assert none == {} and {(x._none, x._source): round(x._rate, 6) for x in alone.collect()} == {
+        k: round(g / sum(x._n * x._size for x in got if (x._none, x._source) == k), 6) for k, g in target.items()}
+    with pytest.raises(ValueError):
+        mixing.balance(docs, goals, {"lang": {"en": 0.9, "de": 0.9}}, rounds=8)
+    empty, _ = mixing.balance(docs.limit(0), mixing.targets(sources.limit(0)), {"lang": {"en": 0.5}})
+    assert empty.count() == 0

@@ -13,11 +13,12 @@ Hessian is diagonal and every source steps in the same job, however many there a
 Rates are rounded to copies: per source over sizes from large to small, carrying
 the rounding error on, so that the words taken miss the target by less than a
 small document; the copies of one size go to documents in hash order.
+``balance`` takes further moment constraints, which couple the sources.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -30,6 +31,8 @@ WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
 TOLERANCE = 1e-9
 BUCKET_ROWS = 20_000
+MAX_MOMENTS = 20   # wanted values besides the sources: their system is solved on the driver
+MAX_STEP = 2.0     # of a multiplier in one Newton step of the coupled system
 _KEY = ["_none", "_source"]
 
 
@@ -87,6 +90,69 @@ def newton(counts: DataFrame, goals: DataFrame, tolerance: float = TOLERANCE, ro
     return state
 
 
+def balance(docs: DataFrame, goals: DataFrame, shares: Mapping[str, Mapping[str, float]], text_col: str = "text", source_col: str = "source",
+            tolerance: float = TOLERANCE, rounds: int = 60) -> tuple[DataFrame, dict[tuple[str, str], float]]:
+    """Rates under the token targets of the sources and, at once, wanted shares of all tokens by further columns.
+
+    ``goals`` is the result of ``targets``; ``shares`` maps a column to its values' wanted shares of the
+    sum of all targets, for example ``{"lang": {"en": 0.6, "de": 0.2}}`` (at most ``MAX_MOMENTS`` values in all). The rates
+    exp(lambda of the source + sum of the mu of the document's values) are nearest to "every document once" in
+    token-weighted relative entropy among all that meet both. Returns the staged rates ``_none, _source, _values, _size, _n,
+    _rate`` per kind of document (``_values``: which wanted values it has) and the mu by (column, value).
+
+    The moments couple the sources, so each Newton step solves the full system: its Hessian has one
+    diagonal entry per source, bordered by the moments. The sources' part is eliminated by a sum over them
+    (Schur complement), the driver solves the moments' part, of bounded size, and all sources step in one job.
+    Wanted values that no document has, or only documents of sources without a target, are left out. Goals that contradict each other have no
+    solution: the rates are those after ``rounds`` steps, and a ValueError tells so.
+    """
+    wanted = [(c, v, float(x)) for c, values in shares.items() for v, x in values.items()]
+    if len(wanted) > MAX_MOMENTS:
+        raise ValueError(f"{len(wanted)} wanted values, at most {MAX_MOMENTS}")
+    has = F.array(*[F.coalesce(F.col(c).cast("string") == F.lit(v), F.lit(False)) for c, v, _ in wanted]) if wanted else F.array().cast("array<boolean>")
+    rows = docs.select(F.col(source_col).isNull().alias("_none"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("_source"),
+                       has.alias("_values"), words(F.col(text_col)).alias("_size"))
+    counts = stage(rows.groupBy(*_KEY, "_values", "_size").agg(F.count(F.lit(1)).alias("_n")), "mix-kinds")
+    state = goals.select(*_KEY, "_target", F.when((F.col("_target") > 0) & (F.col("_total") > 0), F.lit(0.0)).alias("_lambda"))
+    total = goals.agg(F.sum("_target")).first()[0] or 0.0
+    k, goal = len(wanted), np.array([x * total for *_, x in wanted])
+    mu, worst = np.zeros(k), 0.0
+
+    def tilt(lam: Column) -> Column:
+        return F.exp(lam + sum((F.when(F.col("_values")[i], F.lit(float(m))).otherwise(0.0) for i, m in enumerate(mu)), F.lit(0.0)))
+    for turn in range(rounds):
+        tokens = F.col("_n") * F.col("_size") * tilt(F.col("_lambda"))
+        now = counts.join(state.where("_lambda is not null"), _KEY).withColumn("_t", tokens)
+        both = [F.sum(F.when(F.col("_values")[i] & F.col("_values")[j], F.col("_t")).otherwise(0.0)).alias(f"_m{i}_{j}") for i in range(k) for j in range(i + 1)]
+        per = stage(now.groupBy(*_KEY, "_target", "_lambda").agg(F.sum("_t").alias("_t"), *both), f"mix-moments{turn}")
+        v = [F.col(f"_m{i}_{i}") for i in range(k)]  # of indicators, the square is the sum
+        gap = F.col("_target") - F.col("_t")
+        sums = per.agg(F.max(F.abs(gap) / F.col("_target")).alias("worst"), *[F.sum(f"_m{i}_{j}").alias(f"m{i}_{j}") for i in range(k) for j in range(i + 1)],
+                       *[F.sum(v[i] * v[j] / F.col("_t")).alias(f"s{i}_{j}") for i in range(k) for j in range(i + 1)],
+                       *[F.sum(v[i] * gap / F.col("_t")).alias(f"g{i}") for i in range(k)]).first()
+        if sums["worst"] is None:
+            break
+        square = lambda c: np.array([[sums[f"{c}{max(i, j)}_{min(i, j)}"] or 0.0 for j in range(k)] for i in range(k)])
+        moments = square("m")
+        known = np.diag(moments) > 0 if k else np.zeros(0, bool)
+        error = np.where(known, goal - np.diag(moments), 0.0) if k else goal
+        worst = max(sums["worst"], float(np.max(np.abs(error) / np.maximum(goal, 1.0), initial=0.0)))
+        if worst < tolerance:
+            break
+        # Constraints may depend on one another (shares that add up to all tokens), hence the pseudo-inverse.
+        right = np.where(known, error - np.array([sums[f"g{i}"] for i in range(k)]), 0.0) if k else error
+        step = np.linalg.pinv(moments - square("s"), rcond=1e-10) @ right if k else error
+        step = np.clip(step, -MAX_STEP, MAX_STEP)
+        own = (gap - sum((v[i] * float(step[i]) for i in range(k)), F.lit(0.0))) / F.col("_t")
+        state = stage(per.select(*_KEY, "_target", (F.col("_lambda") + F.least(F.greatest(own, F.lit(-MAX_STEP)), F.lit(MAX_STEP))).alias("_lambda")), f"mix-step{turn}")
+        mu = mu + step
+    else:
+        raise ValueError(f"the wanted shares and targets contradict each other: still {worst:.2g} away after {rounds} steps")
+    rates = counts.join(state.select(*_KEY, "_lambda"), _KEY, "left")
+    rates = rates.withColumn("_rate", F.coalesce(tilt(F.col("_lambda")), F.lit(0.0))).drop("_lambda")
+    return stage(rates, "mix-rates"), {(c, x): float(m) for (c, x, _), m in zip(wanted, mu)}
+
+
 def _round_sizes(limit: int):
     def carry(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_size", ascending=False)
