@@ -16,7 +16,7 @@ from txlens.operators import lookup as L
 from txlens.operators import profile as P
 from txlens.operators import segment as S
 from txlens.operators.cache import cut
-from txlens.operators.decompose import SUGGESTION_THRESHOLDS, compute_pca
+from txlens.operators.decompose import SUGGESTION_THRESHOLDS, compute_pca, prepare_for_pca
 from txlens.operators.user_features import build_user_features
 from txlens.plans import queries_profile as PQ
 from txlens.plans import sql as Q
@@ -282,3 +282,34 @@ def q_a8(spark, sf):
     path = write_csv(flagged, _scratch(spark))
     schema = "transaction_id string, user_id string, product_amount double, anomaly_score double, threshold double, is_above_threshold boolean, severity string"
     return spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+
+
+# --- prepared model inputs -------------------------------------------------------------------------
+
+@register("m3_prepared_for_pca", """WITH c AS (SELECT event_type, row_number() OVER (ORDER BY min(event_id)) - 1 AS code FROM events GROUP BY 1)
+SELECT event_id, CAST(value AS DOUBLE) AS value, TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k, CAST(code AS DOUBLE) AS event_type
+FROM events JOIN c USING (event_type)""")
+def q_m3(spark, sf):
+    """A number, numbers kept as text, and a text column that gets codes; a constant column goes."""
+    ev = read_table(spark, sf, "events").select("event_id", "value", F.get_json_object("props", "$.k").alias("k"), "event_type", F.lit(3).alias("same"))
+    clean, _ = prepare_for_pca(ev, ["event_id"])
+    return clean
+
+
+_GAPS = "CASE WHEN event_id % 10 > 2 THEN value END"
+
+
+@register("m5_prepared_for_models", f"""SELECT event_id, CAST(user_id AS DOUBLE) AS user_id, coalesce({_GAPS}, (SELECT median({_GAPS}) FROM events)) AS value FROM events""")
+def q_m5(spark, sf):
+    """Nulls and infinite values become the median; an empty column and a text column go (M4 and M5)."""
+    value = F.when(F.col("event_id") % 10 > 2, F.col("value")).when(F.col("event_id") % 10 == 2, F.lit(float("inf"))).when(F.col("event_id") % 10 == 1, F.lit(float("nan")))
+    ev = read_table(spark, sf, "events").select("event_id", "user_id", value.alias("value"), "event_type", F.lit(None).cast("double").alias("nothing"))
+    return S.prepare_for_clustering(ev, ["event_id"])
+
+
+@register("b23_profile_columns", f"""WITH {Q.raw_cte('orders')}, long AS ({PQ._long_sql('raw', PQ.NUMS, PQ._GRP)}),
+s AS (SELECT {PQ._GRP}, count(*) AS size FROM raw GROUP BY 1)
+SELECT {SR('avg(value)', 3)} AS mean, any_value(size) AS size, {SR('any_value(size) * 100.0 / (SELECT count(*) FROM raw)', 1)} AS size_pct
+FROM long JOIN s USING ({PQ._GRP}) GROUP BY {PQ._GRP}, feature""")
+def q_b23(spark, sf):
+    return P.columns_matching(P.group_profiles(tx_from_orders(spark, sf), PQ._GRP, PQ.NUMS), ("mean", "size", "pct"))
