@@ -13,10 +13,9 @@ exact set intersection verifies the rest.
 Hot blocks lose no link. A block is bad for a set if it is empty or its key is
 held by more than ``HOT`` sets. A set with at most z bad blocks shares a good block with
 every partner, so only sets with more bad blocks meet in hot keys. There, and
-everywhere, candidates are first compared with one pivot per key, and where components differ
-with a few more; pairs already in one component need no comparison. Of the pairs that
-follow one side is always outside the key's largest component, so a family of copies
-that one outsider joins is never paired with itself. Equal sets are one set from the start, represented by their smallest id.
+everywhere, candidates are first compared with one pivot per key; pairs already in one component
+need no comparison. Of the pairs that follow one side is always outside the key's
+largest component, so a family of copies that an outsider joins is never paired with itself. Equal sets are one set from the start, represented by their smallest id.
 """
 
 from __future__ import annotations
@@ -38,7 +37,6 @@ PERCENT = 85       # linked if 100 * intersection >= PERCENT * union
 BAND_RATIO = 1.5
 HOT = 32
 KEY_BROADCAST = 48 << 20
-ROUNDS = 1         # further pivots per key before members of different components are paired
 
 
 def band_of(n: int) -> int:
@@ -223,35 +221,21 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = stage(_verified(stage(pairs, "jaccard-pairs"), sets, percent), "jaccard-links")
     label = stage(components(links), "jaccard-labels")
 
-    # Then keys that still hold several components: a few rounds against one more pivot each, out of the
-    # component with most members there, and then the pairs that are left.
-    narrow = sketches.select("u", "band", "bits")
-    for turn in range(ROUNDS + 1):
-        labelled = lookup(group, label.withColumnRenamed("node", "u"), ["u"], "left", 24)
-        labelled = stage(labelled.select("k", "u", "n", "band", F.coalesce("component", "u").alias("l")), "jaccard-labelled")
-        counts = labelled.groupBy("k", "l").agg(F.count(F.lit(1)).alias("c"), F.min(F.xxhash64("u", F.lit(turn))).alias("h"))
-        most = counts.groupBy("k").agg(F.max(F.struct("c", "l", "h")).alias("m"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-        most = stage(most.select("k", F.col("m.l").alias("big"), F.col("m.h").alias("h")), "jaccard-mixed")
-        if most.isEmpty():
-            break
-        open_ = stage(lookup(labelled, most, ["k"], "inner", 32).join(narrow, ["u", "band"]), "jaccard-open")
-        side = lambda df, i, *more: df.select("k", *more, *[F.col(c).alias(f"{c}{i}") for c in ("u", "n", "l", "bits")])
-        inside = F.col("l") == F.col("big")
-        if turn < ROUNDS:
-            chosen = open_.where(inside & (F.xxhash64("u", F.lit(turn)) == F.col("h"))).dropDuplicates(["k"])
-            both = lookup(side(open_.where(~inside), 1), stage(side(chosen, 2), "jaccard-pivots"), ["k"], "inner", 300)
-        else:
-            # Members of the largest component meet the others alone, never one another.
-            both = side(open_.where(~inside), 1).join(side(open_, 2, "big"), "k").where(
-                (F.col("l1") != F.col("l2")) & ((F.col("l2") == F.col("big")) | (F.col("u1") < F.col("u2"))))
-        at_most = F.floor((100 - percent) * (F.col("n1") + F.col("n2")) / (100 + percent))
-        near = (100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")) & (_hamming("bits1", "bits2") <= at_most)
-        rest = both.where(near).select(F.col("u1").alias("a"), F.col("u2").alias("b"))
-        more = stage(_verified(stage(rest.distinct(), "jaccard-rest"), sets, percent), "jaccard-more")
-        if more.isEmpty():
-            continue
-        links = stage(links.unionByName(more), "jaccard-links")
-        label = stage(components(links), "jaccard-labels")
+    # Then the pairs of keys that still hold several components. One side is always outside the key's largest
+    # component, so its members meet the others alone, never one another.
+    labelled = lookup(group, label.withColumnRenamed("node", "u"), ["u"], "left", 24)
+    labelled = stage(labelled.select("k", "u", "n", "band", F.coalesce("component", "u").alias("l")), "jaccard-labelled")
+    parts = labelled.groupBy("k", "l").agg(F.count(F.lit(1)).alias("c")).groupBy("k").agg(F.max(F.struct("c", "l")).alias("m"), F.count(F.lit(1)).alias("parts"))
+    mixed = stage(parts.where("parts > 1").select("k", F.col("m.l").alias("big")), "jaccard-mixed")
+    open_ = lookup(labelled, mixed, ["k"], "inner", 24)
+    open_ = stage(open_.join(sketches.select("u", "band", "bits"), ["u", "band"]), "jaccard-open")
+    side = lambda df, i, *more: df.select("k", *more, *[F.col(c).alias(f"{c}{i}") for c in ("u", "n", "l", "bits")])
+    at_most = F.floor((100 - percent) * (F.col("n1") + F.col("n2")) / (100 + percent))
+    near = ((F.col("l1") != F.col("l2")) & ((F.col("l2") == F.col("big")) | (F.col("u1") < F.col("u2")))
+            & (100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")) & (_hamming("bits1", "bits2") <= at_most))
+    rest = side(open_.where(F.col("l") != F.col("big")), 1).join(side(open_, 2, "big"), "k").where(near)
+    rest = rest.select(F.col("u1").alias("a"), F.col("u2").alias("b")).distinct()
+    links = links.unionByName(stage(_verified(stage(rest, "jaccard-rest"), sets, percent), "jaccard-more"))
     # Copies hang on their representative.
     links = links.unionByName(copies.select(F.col("rep").alias("a"), F.col("u").alias("b")))
     final = stage(components(links), "jaccard-components")
