@@ -292,8 +292,8 @@ _AN_COLS = ["transaction_id", "user_id", "product_category", "product_amount", "
 
 
 def _analyzed(spark, sf) -> DataFrame:
-    raw = tx_from_orders(spark, sf).select(*_AN_COLS)
-    return A.analyze_anomalies(raw, _scores(spark, sf))
+    raw = A.cut(tx_from_orders(spark, sf).select(*_AN_COLS, *[c for c in NUMS if c not in _AN_COLS]))  # read by the scaler, the scores and the join
+    return A.analyze_anomalies(raw.select(*_AN_COLS), A.distance_scores(raw, NUMS, ["transaction_id"]))
 
 
 @register("m29_analyze_anomalies", f"WITH {_scores_sql()}, {_AN} SELECT * FROM an")
@@ -374,9 +374,9 @@ def _report_sql() -> str:
 
 @register("m42_anomaly_report", _report_sql())
 def q_m42(spark, sf):
-    raw = tx_from_orders(spark, sf)
-    scores = A.cut(A.distance_scores(raw, NUMS, ["transaction_id"]))
-    analyzed = A.analyze_anomalies(raw.select(*_AN_COLS, "transaction_date"), scores)
+    shown = [*_AN_COLS, "transaction_date"]
+    raw = A.cut(tx_from_orders(spark, sf).select(*shown, *[c for c in NUMS if c not in shown]))  # read by the scaler, the scores and the join
+    analyzed = A.analyze_anomalies(raw.select(*shown), A.distance_scores(raw, NUMS, ["transaction_id"]), ordered=False)
     return A.anomaly_report(analyzed, 0.02, len(NUMS))
 
 
@@ -441,6 +441,7 @@ def _db_sql() -> str:
 def q_m22(spark, sf):
     """Davies-Bouldin index of the fixed label (return flag) on the scaled amounts."""
     from txlens.operators.segment import davies_bouldin
-    scaled, _ = A.scale_features(tx_from_orders(spark, sf), NUMS, keep=[_GRP])
+    rows = A.cut(tx_from_orders(spark, sf).select(_GRP, *NUMS))  # read by the scaler, the centroids and the spreads
+    scaled, _ = A.scale_features(rows, NUMS, keep=[_GRP])
     db = davies_bouldin(scaled, NUMS, label=_GRP)
     return spark.createDataFrame([(db,)], "davies_bouldin double").select(R("davies_bouldin", 6).alias("davies_bouldin"))
