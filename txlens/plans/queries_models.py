@@ -207,7 +207,7 @@ SELECT transaction_id, CAST((SELECT count(*) FROM e) AS INTEGER) AS size, concat
 FROM raw {" ".join(f"LEFT JOIN e e{i} ON e{i}.place = {i} AND e{i}.value = raw.{c}" for i, c in enumerate(_SPARSE))}""")
 def q_g21(spark, sf):
     """One sparse vector per transaction over categories, payment methods and users."""
-    raw = tx_from_orders(spark, sf).select("transaction_id", *_SPARSE)
+    raw = cut(tx_from_orders(spark, sf).select("transaction_id", *_SPARSE))  # read by the dictionary and by the vectors
     dictionary = cut(E.value_dictionary(raw, _SPARSE))
     out = E.sparse_one_hot(raw, ["transaction_id"], _SPARSE, dictionary)
     v = F.from_json(F.to_json(F.struct("features")), "features struct<size int, indices array<int>>")["features"]
