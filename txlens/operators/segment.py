@@ -134,7 +134,8 @@ def euclidean_silhouette(labelled: DataFrame, keys: list[str], cols: list[str],
     row = got.agg(F.sum("n").alias("n"), F.sum("s").alias("s"), *[F.sum(F.col("parts")[g]).alias(f"p{g}") for g in range(_PARTS)]).first()
     parts = np.array([row[f"p{g}"] for g in range(_PARTS)]) / row["n"]
     error = 0.0 if exact else float(parts.std(ddof=1) / _PARTS ** 0.5)
-    return spark.createDataFrame([(row["n"], row["s"] / row["n"], error, exact, len(found))], SILHOUETTE)
+    # Twelve digits: the order in which tasks add up shows below them.
+    return spark.createDataFrame([(row["n"], round(row["s"] / row["n"], 12), round(error, 12), exact, len(found))], SILHOUETTE)
 
 
 def suggest_k(curve: DataFrame, method: str = "elbow") -> int:
