@@ -152,6 +152,28 @@ def test_jaccard_join_with_an_outsider_in_a_hot_key(spark, monkeypatch, outsider
     assert sizes["jaccard-rest"] <= outsiders * (90 + outsiders) and sizes["jaccard-pairs"] < 90 * 89 / 4
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_jaccard_join_builds_sets_of_likely_pairs_alone(spark, monkeypatch, broadcast):
+    """Texts that share a passage, and so blocks, but are far from linked: their sketches tell, and their sets are not built."""
+    passage = nasty.prose(60, 3)
+    rows = [(i, passage + " " + nasty.prose(60, 300 + i), "a") for i in range(40)]
+    rows += [(100 + i, nasty.edited(rows[i][1], 0.01, i), "a") for i in range(3)]
+    sizes = collections.Counter()
+    plain, fits = jaccard_join.stage, jaccard_join.fits_broadcast
+
+    def counted(df, label):
+        out = plain(df, label)
+        sizes[label] = max(sizes[label], out.count())
+        return out
+    monkeypatch.setattr(jaccard_join, "stage", counted)
+    monkeypatch.setattr(jaccard_join, "fits_broadcast", lambda *a: broadcast and fits(*a))
+    got = jaccard_join.jaccard_components(nasty.docs(spark, rows)).collect()
+    want = _links([(i, t) for i, t, _ in rows])
+    assert sorted(c for i, (_, c) in want.items() if i >= 100) == [0, 1, 2]
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    assert sizes["jaccard-groups"] > 100 and sizes["jaccard-full"] <= 10
+
+
 def test_sketch_bounds():
     """Blocks that differ, and the narrow sketch's Hamming distance, never exceed the symmetric difference."""
     import numpy as np

@@ -61,6 +61,22 @@ def lookup(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str, row_
     return big.join(F.broadcast(small) if fits_broadcast(small, row_bytes) else small, list(keys), how)
 
 
+def may_match(rows: DataFrame, keys: DataFrame, on: Sequence[str], bits: int) -> DataFrame:
+    """``rows`` with ``_may``: false only where the key is surely not among ``keys``.
+
+    A bitmap of ``bits`` bits, one bit per hashed key, is broadcast: of fixed size however many keys there are.
+    It lets a few others through, which an exact join then turns away.
+    """
+    kept = rows.columns
+    slot = (F.pmod(F.xxhash64(*on), F.lit(bits)) + 1).alias("_slot")
+    marks = keys.select(slot).groupBy(F.bitmap_bucket_number("_slot").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits"))
+    out = rows.withColumn("_slot", slot).withColumn("_bucket", F.bitmap_bucket_number("_slot")).join(F.broadcast(marks), "_bucket", "left")
+    at = F.bitmap_bit_position("_slot")
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    may = F.coalesce(F.floor(byte / F.pow(F.lit(2), at % 8)).cast("int") % 2 == 1, F.lit(False))
+    return out.select(*kept, may.alias("_may"))
+
+
 def with_rank(df: DataFrame, order: Sequence, label: str) -> DataFrame:
     """``df`` (narrow) staged with ``_rank``: its place from 0 in the global order.
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txlens.llm.common import fits_broadcast, stage
+from txlens.llm.common import fits_broadcast, may_match, stage
 
 PREFIX_CHARS = 256
 FILTER_BITS = 1 << 26  # of the bitmap of surviving keys: 8 MB
@@ -99,13 +99,7 @@ def _marked(rows: DataFrame, keys: DataFrame, on: list[str], row_bytes: int, the
     if fits_broadcast(keys, row_bytes):
         out = rows.join(F.broadcast(marks), on, "left").withColumn("_in", F.coalesce("_in", F.lit(False)))
         return out.select(*kept, "_in", *_read(then, always, "_in"))
-    slot = (F.pmod(F.xxhash64(*on), F.lit(FILTER_BITS)) + 1).alias("_slot")
-    bits = keys.select(slot).groupBy(F.bitmap_bucket_number("_slot").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits"))
-    out = rows.withColumn("_slot", slot).withColumn("_bucket", F.bitmap_bucket_number("_slot")).join(F.broadcast(bits), "_bucket", "left")
-    at = F.bitmap_bit_position("_slot")
-    byte = F.conv(F.hex(F.substring("_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    may = F.coalesce(F.floor(byte / F.pow(F.lit(2), at % 8)).cast("int") % 2 == 1, F.lit(False))
-    out = out.withColumn("_may", may).select(*kept, *_read(then, always, "_may"))
+    out = may_match(rows, keys, on, FILTER_BITS).select(*kept, *_read(then, always, "_may"))
     return out.join(marks, on, "left").withColumn("_in", F.coalesce("_in", F.lit(False)))
 
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txlens.llm.common import fits_broadcast, lookup, small_batches, stage
+from txlens.llm.common import fits_broadcast, lookup, may_match, small_batches, stage
 from txlens.llm.components import components
 from txlens.llm.shingles import mix, shingle_set
 
@@ -37,6 +37,7 @@ PERCENT = 85       # linked if 100 * intersection >= PERCENT * union
 BAND_RATIO = 1.5
 HOT = 32
 KEY_BROADCAST = 48 << 20
+FILTER_BITS = 1 << 28  # of the bitmap of repeated keys, at most: 32 MB
 
 
 def band_of(n: int) -> int:
@@ -147,13 +148,36 @@ def _hamming(a: str, b: str) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _near(met: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Those of the staged candidates ``a, b, band`` whose sizes and narrow sketches allow a link, as pairs ``a, b``."""
+    firsts = stage(met.select("a", "band").distinct(), "jaccard-met-firsts")
+    few = fits_broadcast(met, 32, KEY_BROADCAST)
+    side = lambda c, i: sketches.select(F.col("u").alias(c), "band", F.col("n").alias(f"n{i}"), F.col("bits").alias(f"bits{i}"))
+    left = side("a", 1).join(F.broadcast(firsts) if few else firsts, ["a", "band"], "left_semi")
+    right = side("b", 2).join(F.broadcast(met) if few else met, ["b", "band"])
+    return right.join(left, ["a", "band"]).where(_may_link(percent)).select("a", "b").distinct()
+
+
+def _may_link(percent: int) -> Column:
+    """Whether sets of sizes ``n1, n2`` with narrow sketches ``bits1, bits2`` can be linked."""
+    at_most = F.floor((100 - percent) * (F.col("n1") + F.col("n2")) / (100 + percent))
+    return (100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")) & (_hamming("bits1", "bits2") <= at_most)
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, width: int, percent: int, repeated: bool) -> DataFrame:
     """The staged pairs ``a, b`` whose sets are linked, by exact intersection.
 
-    The pairs are brought to the sets, so that only sets of a pair move: each set once
-    for every pair where it is ``b``, and once where it is ``a`` of any.
+    Sets are built of the texts of a pair alone. The pairs are brought to them: each set moves once
+    for every pair where it is ``b``, and once where it is ``a`` of any. ``repeated``: ids repeat among the rows.
     """
     firsts = stage(pairs.select("a").distinct(), "jaccard-firsts")
+    needed = stage(firsts.select(F.col("a").alias("u")).union(pairs.select("b")).distinct(), "jaccard-needed")
+    chosen = rows.join(F.broadcast(needed) if fits_broadcast(needed, 64, KEY_BROADCAST) else needed, "u", "left_semi")
+    sets = _full_sets(chosen, width)
+    if repeated:
+        sets = sets.dropDuplicates(["u"])
+    with small_batches(rows.sparkSession):
+        sets = stage(sets, "jaccard-full")
     few = fits_broadcast(pairs, 24, KEY_BROADCAST)
     left = sets.select(F.col("u").alias("a"), F.col("s").alias("sa")).join(F.broadcast(firsts) if few else firsts, "a", "left_semi")
     right = sets.select(F.col("u").alias("b"), F.col("s").alias("sb")).join(F.broadcast(pairs) if few else pairs, "b")
@@ -193,7 +217,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     member = sketches.select("u", "n", "band", "empty", "z", F.explode("keys").alias("k"))
     keys = member.groupBy("k").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     keys = stage(keys, "jaccard-keys")
-    shared = member.join(F.broadcast(keys) if fits_broadcast(keys, 16, KEY_BROADCAST) else keys, "k")
+    if fits_broadcast(keys, 16, KEY_BROADCAST):
+        shared = member.join(F.broadcast(keys), "k")
+    else:  # most keys are held by one set alone: a bitmap keeps these out of the shuffle
+        bits = min(FILTER_BITS, 1 << (16 * keys.count()).bit_length())
+        shared = may_match(member, keys, ["k"], bits).where("_may").drop("_may").join(keys, "k")
     shared = stage(shared, "jaccard-members")
 
     # Of the members of hot keys only those with too many bad blocks go on.
@@ -204,21 +232,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     degree = group.groupBy("u").agg(F.count(F.lit(1)).alias("degree"))
     group = stage(group.select("k", "u", "n", "band").join(degree, "u"), "jaccard-groups")
 
-    needed = stage(group.select("u").distinct(), "jaccard-needed")
-    chosen = rows.join(F.broadcast(needed) if fits_broadcast(needed, 64, KEY_BROADCAST) else needed, "u", "left_semi")
-    sets = _full_sets(chosen, width)
-    if not named.groupBy("u").count().where("count > 1").isEmpty():
-        sets = sets.dropDuplicates(["u"])  # repeated ids
-    with small_batches(spark):
-        sets = stage(sets, "jaccard-full")
-
-    # First every member against its key's pivot, the member sharing most blocks.
+    # First every member against its key's pivot, the member sharing most blocks. Sketches tell most candidates
+    # apart, so that few sets are built and moved.
+    repeated = not named.groupBy("u").count().where("count > 1").isEmpty()
     share = F.col("degree") / F.col("n")
     pivot = stage(group.groupBy("k").agg(F.max(F.struct(share.alias("w"), (-F.col("u")).alias("m"))).alias("p"))
                   .select("k", (-F.col("p.m")).alias("a")), "jaccard-pivots")
-    pairs = lookup(group.select("k", "u"), pivot, ["k"], "inner", 24).where("a <> u").select(
-        "a", F.col("u").alias("b")).distinct()
-    links = stage(_verified(stage(pairs, "jaccard-pairs"), sets, percent), "jaccard-links")
+    met = lookup(group.select("k", "u", "band"), pivot, ["k"], "inner", 24).where("a <> u").select(
+        "a", F.col("u").alias("b"), "band").distinct()
+    pairs = stage(_near(stage(met, "jaccard-met"), sketches, percent), "jaccard-pairs")
+    links = stage(_verified(pairs, rows, width, percent, repeated), "jaccard-links")
     label = stage(components(links), "jaccard-labels")
 
     # Then the pairs of keys that still hold several components. One side is always outside the key's largest
@@ -230,12 +253,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     open_ = lookup(labelled, mixed, ["k"], "inner", 24)
     open_ = stage(open_.join(sketches.select("u", "band", "bits"), ["u", "band"]), "jaccard-open")
     side = lambda df, i, *more: df.select("k", *more, *[F.col(c).alias(f"{c}{i}") for c in ("u", "n", "l", "bits")])
-    at_most = F.floor((100 - percent) * (F.col("n1") + F.col("n2")) / (100 + percent))
-    near = ((F.col("l1") != F.col("l2")) & ((F.col("l2") == F.col("big")) | (F.col("u1") < F.col("u2")))
-            & (100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")) & (_hamming("bits1", "bits2") <= at_most))
+    near = (F.col("l1") != F.col("l2")) & ((F.col("l2") == F.col("big")) | (F.col("u1") < F.col("u2"))) & _may_link(percent)
     rest = side(open_.where(F.col("l") != F.col("big")), 1).join(side(open_, 2, "big"), "k").where(near)
     rest = rest.select(F.col("u1").alias("a"), F.col("u2").alias("b")).distinct()
-    links = links.unionByName(stage(_verified(stage(rest, "jaccard-rest"), sets, percent), "jaccard-more"))
+    links = links.unionByName(stage(_verified(stage(rest, "jaccard-rest"), rows, width, percent, repeated), "jaccard-more"))
     # Copies hang on their representative.
     links = links.unionByName(copies.select(F.col("rep").alias("a"), F.col("u").alias("b")))
     final = stage(components(links), "jaccard-components")
