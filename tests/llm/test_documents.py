@@ -174,6 +174,49 @@ def test_jaccard_join_builds_sets_of_likely_pairs_alone(spark, monkeypatch, broa
     assert sizes["jaccard-groups"] > 100 and sizes["jaccard-full"] <= 10
 
 
+def test_jaccard_join_keeps_hot_keys_that_bring_pairs_together(spark, monkeypatch):
+    """A family larger than HOT: its keys in the band below, where no set is the smaller one of a pair, and as many hot keys of each set as spare blocks stay out."""
+    monkeypatch.setattr(jaccard_join, "HOT", 3)
+    base = nasty.prose(140, 8)
+    rows = [(i, nasty.edited(base, 0.01 + 0.012 * (i % 3), 40 + i), "a") for i in range(24)]
+    seen = {}
+    plain = jaccard_join.stage
+
+    def kept(df, label):
+        seen[label] = plain(df, label)
+        return seen[label]
+    monkeypatch.setattr(jaccard_join, "stage", kept)
+    got = jaccard_join.jaccard_components(nasty.docs(spark, rows)).collect()
+    want = _links([(i, t) for i, t, _ in rows])
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    assert len({c for _, c in want.values()}) < 24
+    bands = {jaccard_join.band_of(n) for n, _ in want.values()}
+    assert len(bands) == 1 and seen["jaccard-texts"].select("band").distinct().count() == 2
+    assert {r.band for r in seen["jaccard-members"].select("band").distinct().collect()} == bands
+    spare = jaccard_join.blocks_of(bands.pop())[1]
+    before = collections.Counter(r.u for r in seen["jaccard-members"].collect() if r.c > 3)
+    empty = {r.u: r.empty for r in seen["jaccard-members"].collect()}
+    cool = collections.Counter(r.u for r in seen["jaccard-members"].collect() if r.c <= 3)
+    after = collections.Counter(r.u for r in seen["jaccard-groups"].collect())
+    assert all(after[u] == cool[u] + before[u] - min(before[u], max(0, spare - empty[u])) for u in before)
+    assert sum(after.values()) < sum(before.values()) + sum(cool.values())
+
+
+@pytest.mark.parametrize("hot", [2, 32])
+def test_jaccard_join_across_a_band_edge(spark, monkeypatch, hot):
+    """Links between sets of different own bands, in hot keys and others; also of an id that repeats."""
+    monkeypatch.setattr(jaccard_join, "HOT", hot)
+    rows = []
+    for f in range(3):
+        words = nasty.prose(230, 900 + f).split(" ")
+        rows += [(100 * f + i, nasty.edited(" ".join(words[:180 + 4 * i]), 0.006 * (i % 4), 7 * f + i), "a") for i in range(12)]
+    rows.append(rows[3])
+    got = jaccard_join.jaccard_components(nasty.docs(spark, rows)).collect()
+    want = _links([(i, t) for i, t, _ in rows])
+    assert len({jaccard_join.band_of(n) for n, _ in want.values()}) == 2
+    assert len(got) == len(rows) and {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+
+
 def test_sketch_bounds():
     """Blocks that differ, and the narrow sketch's Hamming distance, never exceed the symmetric difference."""
     import numpy as np

@@ -10,12 +10,13 @@ exclusive-or of the flipped positions), so equal blocks mean equal shingles; a
 second, narrow sketch of about one bit per shingle filters candidates by its Hamming distance, and
 exact set intersection verifies the rest.
 
-Hot blocks lose no link. A block is bad for a set if it is empty or its key is
-held by more than ``HOT`` sets. A set with at most z bad blocks shares a good block with
-every partner, so only sets with more bad blocks meet in hot keys. There, and
-everywhere, candidates are first compared with one pivot per key; pairs already in one component
+Hot blocks lose no link. A key is hot if more than ``HOT`` sets hold it. All sets rank hot keys alike, the most
+frequent first with the empty blocks before them, and every set leaves its first z: of the z + 1 blocks that two sets
+share at least, the last in that order is left by neither. Keys that no set holds in its own band, where pairs with
+larger sets meet, bring nothing together. Everywhere candidates are first compared with one pivot per key; pairs already in one component
 need no comparison. Of the pairs that follow one side is always outside the key's
-largest component, so a family of copies that an outsider joins is never paired with itself. Equal sets are one set from the start, represented by their smallest id.
+largest component, so a family of copies that an outsider joins is never paired with itself, and a pair that shares its key's
+predecessor as well is left to that one. Equal sets are one set from the start, represented by their smallest id.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txlens.llm.common import fits_broadcast, lookup, may_match, small_batches, stage
@@ -91,7 +92,7 @@ def sketch(shingles: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int,
     return out
 
 
-_TEXTS = "u long, first boolean, n long, d1 long, d2 long, band int, empty int, z int, keys array<long>, bits array<long>"
+_TEXTS = "u long, first boolean, n long, d1 long, d2 long, band int, own boolean, empty int, z int, keys array<long>, bits array<long>"
 _SLICE = 256  # texts turned into Python objects at a time
 
 
@@ -112,7 +113,7 @@ def _texts(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """All that is needed of every text but its set, in one pass: a row per band with its sketch.
 
     The ``first`` row of a text also counts for its size n and a 128-bit digest of its set; a text
-    without shingles has that row alone, without a sketch.
+    without shingles has that row alone, without a sketch. The band that n lies in is its ``own``.
     """
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in _slices(batches):
@@ -123,14 +124,14 @@ def _texts(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 d1 = int(np.bitwise_xor.reduce(mix(s ^ np.uint64(1))).view(np.int64)) if len(s) else 0
                 d2 = int(mix(s).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0
                 for k, (band, empty, z, key, narrow) in enumerate(found):
-                    rows.append((u, k == 0, len(s), d1, d2, band, empty, z))
+                    rows.append((u, k == 0, len(s), d1, d2, band, k == len(found) - 1, empty, z))
                     keys.append(key)
                     bits.append(narrow)
                 if not found:
-                    rows.append((u, True, len(s), d1, d2, None, None, None))
+                    rows.append((u, True, len(s), d1, d2, None, None, None, None))
                     keys.append(np.zeros(0, np.int64))
                     bits.append(np.zeros(0, np.int64))
-            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int32())
             columns = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)]
             yield pa.RecordBatch.from_arrays([*columns, _lists(keys), _lists(bits)], [c.split()[0] for c in _TEXTS.split(", ")])
     return docs.mapInArrow(build, _TEXTS)
@@ -214,8 +215,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         sketches = singles.join(F.broadcast(copy_ids), "u", "left_anti")
     else:
         sketches = stage(singles.join(copy_ids, "u", "left_anti"), "jaccard-sketches")
-    member = sketches.select("u", "n", "band", "empty", "z", F.explode("keys").alias("k"))
-    keys = member.groupBy("k").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    member = sketches.select("u", "n", "band", "own", "empty", "z", F.explode("keys").alias("k"))
+    # Pairs meet in the own band of the smaller set: keys that no set holds in its own band bring no pair together.
+    # Both counts move as one number: that of own bands above the 32 bits of all.
+    keys = member.groupBy("k").agg(F.sum(F.when(F.col("own"), (1 << 32) + 1).otherwise(F.lit(1).cast("long"))).alias("c"))
+    keys = keys.where(f"c > {1 << 32}").select("k", F.col("c").bitwiseAND((1 << 32) - 1).alias("c")).where("c > 1")
     keys = stage(keys, "jaccard-keys")
     if fits_broadcast(keys, 16, KEY_BROADCAST):
         shared = member.join(F.broadcast(keys), "k")
@@ -224,13 +228,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         shared = may_match(member, keys, ["k"], bits).where("_may").drop("_may").join(keys, "k")
     shared = stage(shared, "jaccard-members")
 
-    # Of the members of hot keys only those with too many bad blocks go on.
-    bad = (shared.where(F.col("c") > HOT).groupBy("u", "band").agg(F.count(F.lit(1)).alias("hot"), F.max("empty").alias("e"), F.max("z").alias("z"))
-           .where("hot + e > z").select("u", "band"))
-    bad = stage(bad, "jaccard-bad")
-    group = shared.where(F.col("c") <= HOT).unionByName(lookup(shared.where(F.col("c") > HOT), bad, ["u", "band"], "left_semi", 32))
+    # Of its hot keys a set leaves as many as it has spare blocks, the most frequent first.
+    rank = F.row_number().over(Window.partitionBy("u", "band").orderBy(F.desc("c"), "k"))
+    hot = shared.where(F.col("c") > HOT).withColumn("rank", rank).where(F.col("rank") > F.col("z") - F.col("empty")).drop("rank")
+    group = shared.where(F.col("c") <= HOT).unionByName(hot)
     degree = group.groupBy("u").agg(F.count(F.lit(1)).alias("degree"))
-    group = stage(group.select("k", "u", "n", "band").join(degree, "u"), "jaccard-groups")
+    group = stage(group.select("k", "u", "n", "band", "own").join(degree, "u"), "jaccard-groups")
 
     # First every member against its key's pivot, the member sharing most blocks. Sketches tell most candidates
     # apart, so that few sets are built and moved.
@@ -247,13 +250,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # Then the pairs of keys that still hold several components. One side is always outside the key's largest
     # component, so its members meet the others alone, never one another.
     labelled = lookup(group, label.withColumnRenamed("node", "u"), ["u"], "left", 24)
-    labelled = stage(labelled.select("k", "u", "n", "band", F.coalesce("component", "u").alias("l")), "jaccard-labelled")
+    labelled = stage(labelled.select("k", "u", "n", "band", "own", F.coalesce("component", "u").alias("l")), "jaccard-labelled")
     parts = labelled.groupBy("k", "l").agg(F.count(F.lit(1)).alias("c")).groupBy("k").agg(F.max(F.struct("c", "l")).alias("m"), F.count(F.lit(1)).alias("parts"))
     mixed = stage(parts.where("parts > 1").select("k", F.col("m.l").alias("big")), "jaccard-mixed")
     open_ = lookup(labelled, mixed, ["k"], "inner", 24)
+    ahead = Window.partitionBy("u", "band", "n").orderBy("k").rangeBetween(Window.unboundedPreceding, -1)
+    open_ = open_.withColumn("before", F.max("k").over(ahead))
     open_ = stage(open_.join(sketches.select("u", "band", "bits"), ["u", "band"]), "jaccard-open")
-    side = lambda df, i, *more: df.select("k", *more, *[F.col(c).alias(f"{c}{i}") for c in ("u", "n", "l", "bits")])
-    near = (F.col("l1") != F.col("l2")) & ((F.col("l2") == F.col("big")) | (F.col("u1") < F.col("u2"))) & _may_link(percent)
+    side = lambda df, i, *more: df.select("k", *more, *[F.col(c).alias(f"{c}{i}") for c in ("u", "n", "own", "l", "before", "bits")])
+    met_before = F.coalesce(F.col("before1") == F.col("before2"), F.lit(False))
+    near = (F.col("l1") != F.col("l2")) & (F.col("own1") | F.col("own2")) & ((F.col("l2") == F.col("big")) | (F.col("u1") < F.col("u2")))
+    near = near & ~met_before & _may_link(percent)
     rest = side(open_.where(F.col("l") != F.col("big")), 1).join(side(open_, 2, "big"), "k").where(near)
     rest = rest.select(F.col("u1").alias("a"), F.col("u2").alias("b")).distinct()
     links = links.unionByName(stage(_verified(stage(rest, "jaccard-rest"), rows, width, percent, repeated), "jaccard-more"))
