@@ -295,7 +295,7 @@ def _analyzed(spark, sf) -> DataFrame:
     raw = A.cut(tx_from_orders(spark, sf).select(*_AN_COLS, *[c for c in NUMS if c not in _AN_COLS]))  # read by the scaler, the scores and the join
     scaler = A.Scaler.fit(raw, NUMS)
     scaler = A.Scaler(scaler.cols, A.cut(scaler.stats))  # one row, not computed again by every reader
-    return A.analyze_anomalies(raw.select(*_AN_COLS), A.distance_scores(raw, NUMS, ["transaction_id"], scaler=scaler), staged=True)
+    return A.analyze_anomalies(A.distance_scores(raw, NUMS, _AN_COLS, scaler=scaler))
 
 
 @register("m29_analyze_anomalies", f"WITH {_scores_sql()}, {_AN} SELECT * FROM an")
